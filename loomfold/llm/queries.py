@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomfold.llm import nearjoin
+from loomfold.llm.chunkdedup import History
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,5 +24,12 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearjoin.components(members, links).select(F.col("key").alias("rec_no"), "group_no")
 
 
-QUERIES = {"p4_found": p4_found, "p4_groups": p4_groups}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of incoming that repeat accepted content: all of records, or earlier accepted rows of incoming."""
+    records, incoming = _table(spark, sf_dir, "records"), _table(spark, sf_dir, "incoming")
+    history = History(spark, size=3, tenths=7).start(records)
+    return history.admit(incoming, records, append=False).select(F.col("key").alias("rec_no"))
+
+
+QUERIES = {"p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
