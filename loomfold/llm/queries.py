@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfold.llm import nearjoin
+from loomfold.llm import fusion, nearjoin
 from loomfold.llm.chunkdedup import History
 
 
@@ -31,5 +31,16 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.admit(incoming, records, append=False).select(F.col("key").alias("rec_no"))
 
 
-QUERIES = {"p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that each field of the surviving record of a group is taken from."""
+    fused = fusion.fuse(_table(spark, sf_dir, "records"), _table(spark, sf_dir, "sources"))
+    return fused.select("group_no", "field_name", "rec_no")
+
+
+def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One surviving record per group, built field by field."""
+    return fusion.survivors(fusion.fuse(_table(spark, sf_dir, "records"), _table(spark, sf_dir, "sources")))
+
+
+QUERIES = {"p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
