@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfold.llm import fusion, nearjoin
+from loomfold.llm import fusion, leakage, nearjoin
 from loomfold.llm.chunkdedup import History
 
 
@@ -42,5 +42,23 @@ def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.survivors(fusion.fuse(_table(spark, sf_dir, "records"), _table(spark, sf_dir, "sources")))
 
 
-QUERIES = {"p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least 12 consecutive words of an evaluation item."""
+    found = leakage.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"), least=12)
+    return found.select("doc_id", "item_id")
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each leaked item the number of documents that hold a passage of it and the longest passage."""
+    return leakage.report(leakage.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"), least=12))
+
+
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents left after those with leaked passages are removed."""
+    documents = _table(spark, sf_dir, "documents")
+    found = leakage.leaks(documents, _table(spark, sf_dir, "eval_items"), least=12)
+    return leakage.without_leaks(documents, found).select("doc_id", "source", "doc_kind")
+
+
+QUERIES = {"p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
