@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfold.llm import fusion, leakage, nearjoin
+from loomfold.llm import fusion, leakage, nearjoin, truncation
 from loomfold.llm.chunkdedup import History
 
 
@@ -13,6 +13,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with at least one text that was cut off."""
+    return truncation.truncated_records(_table(spark, sf_dir, "records")).select(F.col("key").alias("rec_no"))
+
+
+def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate of truncation per source."""
+    return truncation.rates(_table(spark, sf_dir, "records"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records whose likeness by runs of three words is at least 0.7."""
     return nearjoin.near_pairs(_table(spark, sf_dir, "records"), tenths=7, size=3)
@@ -60,5 +70,5 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.without_leaks(documents, found).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {"p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
+QUERIES = {"p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
