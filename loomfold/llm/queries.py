@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfold.llm import fusion, leakage, nearjoin, truncation
+from loomfold.llm import answers, fusion, leakage, nearjoin, truncation
 from loomfold.llm.chunkdedup import History
 
 
@@ -23,6 +23,11 @@ def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.rates(_table(spark, sf_dir, "records"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User messages whose answer is empty, cut off, a refusal, the question again or in another language."""
+    return answers.defective_pairs(_table(spark, sf_dir, "records")).select(F.col("key").alias("rec_no"), "msg_no", "defect")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records whose likeness by runs of three words is at least 0.7."""
     return nearjoin.near_pairs(_table(spark, sf_dir, "records"), tenths=7, size=3)
@@ -70,5 +75,5 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.without_leaks(documents, found).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {"p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
+QUERIES = {"p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
