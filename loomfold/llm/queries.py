@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomfold.llm import answers, fusion, leakage, nearjoin, truncation
+from loomfold.llm import answers, fusion, leakage, mixing, nearjoin, splitting, truncation
 from loomfold.llm.chunkdedup import History
 
 
@@ -75,5 +75,20 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.without_leaks(documents, found).select("doc_id", "source", "doc_kind")
 
 
-QUERIES = {"p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
+def p8_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drawn documents with their repeats."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actual share of each source against its target."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[1]
+
+
+def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered pieces of documents with more tokens than their kind may have."""
+    return splitting.split(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "split_limits"))
+
+
+QUERIES = {"p8_draws": p8_draws, "p8_shares": p8_shares, "p9_pieces": p9_pieces, "p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
