@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomfold.functions.decode import rows_of
+from loomfold.llm.bloom import build, may_hold
 from loomfold.llm.texts import both, mixed, record_text, runs
 from loomfold.session import ship, spread, written
 
@@ -51,12 +52,18 @@ def minwise(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _sketch(tokens: np.ndarray) -> np.ndarray:
+def sketches(tokens: np.ndarray) -> np.ndarray:
     """1-bit sketches as two 64-bit integers a set."""
     bits = np.packbits((tokens & 1).astype(np.uint8), axis=1, bitorder="little")
     return bits.view(np.int64)
 
 
+def sketch_distance(threshold: float) -> int:
+    """Differing bits up to which sketches may belong to a pair at the threshold: 4.5 standard deviations beyond the mean."""
+    mean = WIDTH * (1 - threshold) / 2
+    return int(mean + 4.5 * math.sqrt(mean * (1 + threshold) / 2)) + 1
+
+
 def _children(path: np.ndarray, tokens: np.ndarray, choice: int) -> np.ndarray:
     """The child of each path: the path chooses a coordinate, the token there the child."""
     h = mixed(path + np.uint64(choice * 2654435761 + 1))
@@ -106,7 +113,7 @@ def _paths(classes: DataFrame, count: int, depth: int) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             tokens, rep = _tokens(batch.column("tokens")), batch.column("rep").to_numpy()
-            sketch = _sketch(tokens)
+            sketch = sketches(tokens)
             for run in range(count):
                 path = np.full(len(rep), run + 1, np.uint64)
                 for _ in range(depth):
@@ -124,15 +131,25 @@ def _deeper(over: DataFrame, classes: DataFrame, branches: int) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             tokens, rep = _tokens(batch.column("tokens")), batch.column("rep").to_numpy()
-            path, sketch = batch.column("path").to_numpy().view(np.uint64), _sketch(tokens)
+            path, sketch = batch.column("path").to_numpy().view(np.uint64), sketches(tokens)
             for choice in range(1, branches + 1):
                 child = _children(path, tokens, choice).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (child, rep, sketch[:, 0], sketch[:, 1])], ["path", "rep", "s0", "s1"])
 
-    rows = over.select(F.col("a").alias("rep"), "path").join(classes.select("rep", "tokens"), "rep")
+    rows = over.select(F.col("a").alias("rep"), "path").join(_only(classes, build(over.select("a"))), "rep")
     return rows.select("rep", "path", "tokens").mapInArrow(walk, "path bigint, rep bigint, s0 bigint, s1 bigint")
 
 
+def _only(classes: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(rep, tokens) of the classes that a filter lets pass."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(wanted, batch.column(0))))
+
+    return classes.select("rep", "tokens").mapInArrow(keep, "rep bigint, tokens binary")
+
+
 def compare_buckets(rows: DataFrame, limit: int, distance: int) -> DataFrame:
     """Brute force within buckets of at most ``limit`` rows: (a, b, path). Rows of larger ones come back as (a, null, path)."""
 
@@ -218,7 +235,7 @@ def _with_sketch(rows: DataFrame, classes: DataFrame) -> DataFrame:
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                sketch = _sketch(_tokens(batch.column("tokens")))
+                sketch = sketches(_tokens(batch.column("tokens")))
                 yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("rep"), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])], ["path", "rep", "s0", "s1"])
 
     joined = rows.join(classes.select("rep", "tokens"), "rep").select("path", "rep", "tokens")
@@ -227,8 +244,7 @@ def _with_sketch(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def candidates(classes: DataFrame, threshold: float, recall: float = 0.9999, depth: int = 2, limit: int = 256, levels: int = 8) -> DataFrame:
     """Distinct pairs (a, b) of classes that met in a bucket and whose sketches agree well enough."""
-    mean = WIDTH * (1 - threshold) / 2
-    distance = int(mean + 4.5 * math.sqrt(mean * (1 + threshold) / 2)) + 1
+    distance = sketch_distance(threshold)
     rows = _paths(classes, run_count(threshold, depth, recall), depth)
     found = []
     for _ in range(levels):
@@ -247,19 +263,20 @@ def candidates(classes: DataFrame, threshold: float, recall: float = 0.9999, dep
     return pairs.distinct()
 
 
-def _sets(records: DataFrame, key: str, size: int) -> DataFrame:
-    """(key, runs): the runs of records as the bytes of a sorted array of 64-bit hashes."""
+def _sets(records: DataFrame, key: str, size: int, wanted: np.ndarray) -> DataFrame:
+    """(key, runs): the runs of wanted records as the bytes of a sorted array of 64-bit hashes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sets = [], []
+            batch = batch.filter(pa.array(may_hold(wanted, batch.column(0))))
             for no, messages, names in rows_of([batch]):
                 if (text := record_text(messages, names)) is not None:
                     keys.append(no)
                     sets.append(runs(text, size).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["key", "runs"])
 
-    return records.select(F.col(key).cast("bigint"), "messages", "tool_names").mapInArrow(cut, "key bigint, runs binary")
+    return spread(records.select(F.col(key).cast("bigint"), "messages", "tool_names")).mapInArrow(cut, "key bigint, runs binary")
 
 
 def likeness(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -274,8 +291,7 @@ def likeness(a: pa.Array, b: pa.Array) -> pa.Array:
 
 def verified(pairs: DataFrame, records: DataFrame, tenths: int, key: str = "rec_no", size: int = 3) -> DataFrame:
     """The pairs (a, b, common, either) with 10 x common >= tenths x either, counted on the whole texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = _sets(records.join(wanted, F.col(key) == F.col("key"), "left_semi"), key, size)
+    sets = _sets(records, key, size, build(pairs.select(F.explode(F.array("a", "b")))))
     with_a = pairs.join(sets.select(F.col("key").alias("a"), F.col("runs").alias("runs_a")), "a")
     with_b = with_a.join(sets.select(F.col("key").alias("b"), F.col("runs").alias("runs_b")), "b")
     counted = with_b.select("a", "b", F.arrow_udf(likeness, "struct<common:int,either:int>")("runs_a", "runs_b").alias("n"))
@@ -288,7 +304,7 @@ def near_classes(records: DataFrame, tenths: int = 8, key: str = "rec_no", size:
     Classes are records with equal sets of runs, named by their smallest key. Copies aren't expanded into pairs.
     """
     signed = written(signatures(records, key, size), "signatures")
-    classes = classes_of(signed)
+    classes = written(classes_of(signed), "classes")
     pairs = written(candidates(classes, tenths / 10, recall, limit=limit), "candidates")
     links = verified(pairs, records, tenths, key, size)
     named = classes.select("set_id", "rep")
