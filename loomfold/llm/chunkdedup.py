@@ -1,13 +1,15 @@
 """Deduplicating new batches against all history by content-defined chunks.
 
 Accepted texts are cut at boundaries set by a rolling hash, so an edit moves only the chunks it touches. A persistent
-table (chunk hash, class, bytes) holds the chunks of everything accepted; a batch is looked up by its own chunks, and
-its accepted rows are appended, so history is never read as text again but for the few candidates.
+table holds the chunk hashes of each accepted record, with its identity and a sketch of 128 bits; a batch is looked up
+by its own chunks, and its accepted rows are appended, so history is never read as text again but for the few
+candidates.
 
 A row of the batch covers an accepted one if the bytes of their shared chunks are at least ``COVERAGE`` of either
 text; pairs that cover each other are then checked exactly. To find all of them without meeting everybody in the
 chunks of common phrases, each new text looks up only its rarest chunks that together hold more than 1 - COVERAGE of
-its bytes: a text that shares COVERAGE of its bytes must share one of these. Nothing is capped.
+its bytes: a text that shares COVERAGE of its bytes must share one of these. Nothing is capped. Pairs that met are compared by
+their sketches before their texts are fetched.
 
 The accepted rows are the greedy choice by ascending number: rounds accept every row that is the first undecided
 among its id, its class and the linked classes, then reject what these block. Copies are one class and one id is one
@@ -20,6 +22,7 @@ history gives no or no blocked rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +32,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomfold.functions.decode import rows_of
+from loomfold.llm.bloom import build, may_hold
+from loomfold.llm.nearjoin import minwise, sketch_distance, sketches
 from loomfold.llm.texts import both, mixed, record_text, runs
 from loomfold.session import shared_dir, ship, spread, written
 
 WINDOW, DIVISOR, COVERAGE = 8, 16, 0.45
+ROWS = "key bigint, tail string, set_id binary, hashes array<bigint>"
 
 _GEAR = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -62,39 +68,41 @@ def id_tail(column: str = "id"):
 
 
 def _identities(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """(key, tail, set_id, hashes, sizes) of rows with id, messages and tool_names; nulls where messages can't be decoded."""
+    """(key, tail, set_id, hashes, sizes, s0, s1) of rows with id, messages and tool_names; nulls where messages can't be decoded."""
     ship(rows.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes, sizes = [], [], []
+            ids, hashes, sizes, sets = [], [], [], []
             for messages, names in rows_of([batch.select(["messages", "tool_names"])]):
                 text = record_text(messages, names)
                 h, n = (None, None) if text is None else chunks(text)
-                ids.append(None if text is None else xxhash.xxh3_128_digest(runs(text, size).tobytes()))
+                sets.append(own := np.array([], np.uint64) if text is None else runs(text, size))
+                ids.append(None if text is None else xxhash.xxh3_128_digest(own.tobytes()))
                 hashes.append(h)
                 sizes.append(n)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("tail"), pa.array(ids, pa.binary()), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
-                ["key", "tail", "set_id", "hashes", "sizes"],
-            )
+            sketch = sketches(minwise(sets))
+            columns = [pa.array(ids, pa.binary()), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("tail"), *columns], ["key", "tail", "set_id", "hashes", "sizes", "s0", "s1"])
 
     plain = spread(rows.select(F.col(key).cast("bigint").alias("key"), id_tail().alias("tail"), "messages", "tool_names"))
-    return plain.mapInArrow(sign, "key bigint, tail string, set_id binary, hashes array<bigint>, sizes array<int>")
+    return plain.mapInArrow(sign, f"{ROWS}, sizes array<int>, s0 bigint, s1 bigint")
 
 
 def _classes(signed: DataFrame) -> DataFrame:
-    """(rep, set_id, hashes, sizes): one row per class of equal sets of runs, named by its smallest key."""
-    return signed.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min(F.struct("key", "hashes", "sizes")).alias("c")).select(
-        F.col("c.key").alias("rep"), "set_id", "c.hashes", "c.sizes",
-    )
+    """(set_id, rep): the classes of equal sets of runs, named by their smallest key."""
+    return signed.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("key").alias("rep"))
 
 
-def _exploded(classes: DataFrame) -> DataFrame:
-    """(chunk, rep, bytes) of classes."""
-    return classes.select("rep", F.explode(F.arrays_zip("hashes", "sizes")).alias("c")).select(
-        F.col("c.hashes").alias("chunk"), "rep", F.col("c.sizes").alias("bytes")
-    )
+def _first_rows(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows that stand for their classes; a filter of fixed size may leave some copies, which do no harm."""
+    wanted = build(classes.select("rep"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(wanted, batch.column(0))))
+
+    return signed.where("set_id IS NOT NULL").mapInArrow(keep, signed.schema)
 
 
 def _compare(size: int):
@@ -115,57 +123,47 @@ def _compare(size: int):
 
 
 class History:
-    """Everything accepted so far, as tables in a folder: chunks (chunk, rep, bytes) and accepted rows (key, tail, set_id, rep).
-
-    ``texts`` gives the accepted rows with key, messages and tool_names; only candidates are read from it.
-    """
+    """Everything accepted so far, as a table in a folder: (key, tail, set_id, hashes, sizes, s0, s1) of the accepted rows."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, key: str = "rec_no", size: int = 3, tenths: int = 7):
         self.spark, self.key, self.size, self.tenths = spark, key, size, tenths
-        import uuid
-
         self.path = path or f"{shared_dir(spark).rstrip('/')}/history-{uuid.uuid4().hex}"
 
-    def _append(self, signed: DataFrame, fresh: DataFrame) -> None:
-        """Append accepted rows; only classes that are new to the history add chunks."""
-        fresh_classes = _classes(signed) if fresh is signed else _classes(signed.join(fresh.select("key"), "key", "left_semi"))
-        _exploded(fresh_classes).write.mode("append").option("compression", "zstd").parquet(f"{self.path}/chunks")
-        rows = signed if fresh is signed else signed.join(fresh.select("key"), "key", "left_semi")
-        rows = rows.select("key", "tail", "set_id")
-        rows.write.mode("append").option("compression", "zstd").parquet(f"{self.path}/rows")
-
     def start(self, rows: DataFrame) -> History:
         """Accept all rows as they are."""
-        signed = written(_identities(rows, self.key, self.size), "identities")
-        self._append(signed, signed)
+        self._append(_identities(rows, self.key, self.size))
         return self
 
-    def chunk_table(self) -> DataFrame:
-        return self.spark.read.schema("chunk bigint, rep bigint, bytes int").parquet(f"{self.path}/chunks")
+    def _append(self, signed: DataFrame) -> None:
+        signed.write.mode("append").option("compression", "zstd").parquet(self.path)
 
-    def rows(self) -> DataFrame:
-        return self.spark.read.schema("key bigint, tail string, set_id binary").parquet(f"{self.path}/rows")
+    def table(self) -> DataFrame:
+        return self.spark.read.schema(f"{ROWS}, sizes array<int>, s0 bigint, s1 bigint").parquet(self.path)
 
     def _links(self, new: DataFrame, batch: DataFrame, texts: DataFrame) -> DataFrame:
         """(a, b, old): classes a of the batch and classes b of history (old) or of the batch that are near-duplicates."""
-        new_chunks = _exploded(new)
-        everything = self.chunk_table().withColumn("old", F.lit(True)).unionByName(new_chunks.withColumn("old", F.lit(False))).repartition("chunk")
+        old = self.table()
+        old = _first_rows(old, _classes(old))
+        # one column holds the class and whether it is old: 2 x key + 1 or 2 x key
+        own = F.col("key") * 2
+        everything = old.select(F.explode("hashes").alias("chunk"), (own + 1).alias("b")).union(new.select(F.explode("hashes"), own)).repartition("chunk")
         frequency = everything.groupBy("chunk").count().where("count > 1")
-        ranked = new_chunks.join(frequency, "chunk", "left").fillna(1, ["count"])
-        total = Window.partitionBy("rep")
+        mine = new.select(F.col("key").alias("a"), F.explode(F.arrays_zip("hashes", "sizes")).alias("c")).select("a", F.col("c.hashes").alias("chunk"), F.col("c.sizes").alias("bytes"))
+        total = Window.partitionBy("a")
         rarest = total.orderBy("count", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = mine.join(frequency, "chunk", "left").fillna(1, ["count"])
         before = ranked.withColumn("before", F.coalesce(F.sum("bytes").over(rarest), F.lit(0))).withColumn("total", F.sum("bytes").over(total))
         # the rarest chunks up to the one that passes 1 - COVERAGE of the bytes; chunks nobody else has find nobody
-        lookup = before.where((F.col("before") <= F.col("total") * (1 - COVERAGE)) & (F.col("count") > 1)).select("chunk", F.col("rep").alias("a"))
-        met = lookup.join(everything.select("chunk", F.col("rep").alias("b"), "old"), "chunk").where("a <> b OR old")
-        pairs = written(met.select("a", "b", "old").distinct(), "met")
-        batch = batch.select(F.col(self.key).cast("bigint").alias("key"), "messages", "tool_names")
-        texts = texts.select(F.col(self.key).cast("bigint").alias("key"), "messages", "tool_names")
-        wanted = pairs.select("b", "old").distinct()
-        b_texts = texts.join(wanted.where("old"), F.col("key") == F.col("b"), "left_semi").withColumn("old", F.lit(True)).unionByName(
-            batch.join(wanted.where("NOT old"), F.col("key") == F.col("b"), "left_semi").withColumn("old", F.lit(False))
-        )
-        a_texts = batch.join(pairs.select("a").distinct(), F.col("key") == F.col("a"), "left_semi")
+        lookup = before.where((F.col("before") <= F.col("total") * (1 - COVERAGE)) & (F.col("count") > 1)).select("chunk", "a")
+        met = lookup.join(everything, "chunk").where("b <> a * 2").select("a", "b").distinct()
+        sketch = old.select((own + 1).alias("b"), "s0", "s1").union(new.select(own, "s0", "s1"))
+        seen = met.join(sketch, "b").join(new.select(F.col("key").alias("a"), F.col("s0").alias("t0"), F.col("s1").alias("t1")), "a")
+        apart = F.bit_count(F.col("s0").bitwiseXOR(F.col("t0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("t1")))
+        alike = seen.where(apart <= sketch_distance(self.tenths / 10))
+        pairs = written(alike.select("a", F.shiftright("b", 1).alias("b"), (F.col("b") % 2 != 0).alias("old")), "met")
+        a_texts = self._wanted(batch, pairs.select("a"))
+        old_texts = self._wanted(texts, pairs.where("old").select("b")).withColumn("old", F.lit(True))
+        b_texts = old_texts.unionByName(self._wanted(batch, pairs.where("NOT old").select("b")).withColumn("old", F.lit(False)))
         compare = F.arrow_udf(_compare(self.size), "struct<covered:double,common:int,either:int>")
         told = (
             pairs.join(a_texts.select(F.col("key").alias("a"), F.col("messages").alias("am"), F.col("tool_names").alias("an")), "a")
@@ -174,28 +172,39 @@ class History:
         )
         return told.where((F.col("n.covered") >= COVERAGE) & (F.col("n.common") * 10 >= F.col("n.either") * self.tenths)).select("a", "b", "old")
 
+    def _wanted(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
+        """(key, messages, tool_names) of the rows that a filter of the keys lets pass."""
+        wanted = build(keys)
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(may_hold(wanted, batch.column(0))))
+
+        plain = rows.select(F.col(self.key).cast("bigint").alias("key"), "messages", "tool_names")
+        return spread(plain).mapInArrow(keep, "key bigint, messages string, tool_names array<string>")
+
     def admit(self, batch: DataFrame, texts: DataFrame, append: bool = True) -> DataFrame:
         """The rejected rows (key) of a batch; the others are accepted and, unless told otherwise, appended.
 
-        texts: the accepted rows of history with their texts.
+        texts: the accepted rows of history with key, messages and tool_names; only candidates are read from it.
         """
         signed = written(_identities(batch, self.key, self.size), "identities")
-        old = self.rows()
-        classes = _classes(signed).join(old.select("set_id").distinct(), "set_id", "left_anti")  # equal texts in history: rejected below
-        links = written(self._links(classes, batch, texts), "links")
-        named = _classes(signed).select("set_id", "rep")
+        old = self.table()
+        known = old.where("set_id IS NOT NULL").select("set_id").distinct()
+        named = written(_classes(signed).join(known, "set_id", "left_anti"), "classes")  # equal texts in history: rejected below
+        links = written(self._links(_first_rows(signed, named), batch, texts), "links")
         blocked_classes = links.where("old").select(F.col("a").alias("rep")).distinct()
         rows = (
             signed.select("key", "tail", "set_id")
             .join(old.where("tail IS NOT NULL").select("tail").distinct(), "tail", "left_anti")
-            .join(old.where("set_id IS NOT NULL").select("set_id").distinct(), "set_id", "left_anti")
             .join(named, "set_id", "left")
+            .where("rep IS NOT NULL OR set_id IS NULL")
             .join(blocked_classes, "rep", "left_anti")
             .select("key", "tail", "rep")
         )
         accepted = _greedy(written(rows, "undecided"), links.where("NOT old").select("a", "b"))
         if append:
-            self._append(signed, accepted)
+            self._append(signed.join(accepted.select("key"), "key", "left_semi"))
         return signed.select("key").join(accepted.select("key"), "key", "left_anti")
 
 
