@@ -51,12 +51,17 @@ def shingles(messages: list[dict], tool_names: list[str], size: int = SHINGLE) -
 
 def text_shingles(text: Column, size: int = SHINGLE) -> Column:
     """Shingles of normal text as a column."""
-    words = F.filter(F.split(text, " "), lambda w: w != "")
-    count = F.size(words) - size + 1
-    step = F.when(count <= MOST_SHINGLES, F.lit(1)).otherwise(F.floor(count / MOST_SHINGLES).cast("int") + 1)
-    many = F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)), step), lambda i: F.array_join(F.slice(words, i + 1, size), " ")))
-    few = F.when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
-    return F.when(count >= 1, many).otherwise(few)
+
+    def cut(words: Column) -> Column:
+        count = F.size(words) - size + 1
+        step = F.when(count <= MOST_SHINGLES, F.lit(1)).otherwise(F.floor(count / MOST_SHINGLES).cast("int") + 1)
+        at = F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)), step)
+        many = F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", *(F.get(words, i + k) for k in range(size)))))
+        few = F.when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))
+        return F.when(count >= 1, many).otherwise(few)
+
+    # the words are bound once, as the only element of an array: they would be split anew for each shingle otherwise
+    return F.get(F.transform(F.array(F.filter(F.split(text, " "), lambda w: w != "")), cut), F.lit(0))
 
 
 def base_hash(shingle: Column) -> Column:
