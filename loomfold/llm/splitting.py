@@ -38,12 +38,9 @@ RANGE, MAX_KINDS = 32_768, 10_000
 
 #: Kinds of boundaries, the better the larger.
 TOKEN, WORD, SENTENCE, LINE, PARAGRAPH = 0, 1, 2, 3, 4
-_ENDS = (
-    (WORD, re.compile(r"(?<=\S)(?= \S)")),
-    (SENTENCE, re.compile(r"(?<=[.!?])(?= \S)|(?<=[。！？])")),
-    (LINE, re.compile(r"(?<=\n)(?=[^\n])")),
-    (PARAGRAPH, re.compile(r"(?<=\n\n)(?=[^\n])|(?<=\n\r\n)(?=[^\r\n])")),
-)
+_SPACES = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288], np.uint32)
+_CLOSERS = np.array([*map(ord, "。！？」』）】…、，)]}\"'.!?,;:")], np.uint32)
+_STOPS, _WIDE_STOPS = np.array([*map(ord, ".!?")], np.uint32), np.array([*map(ord, "。！？")], np.uint32)
 _ANEW = re.compile(r"(?<=\S)(?= \S)|(?<=\n)(?=\S)")
 
 
@@ -60,23 +57,42 @@ def boundary_table(text: str, path: str = VOCABULARY) -> tuple[np.ndarray, np.nd
     encoding, lengths = encoder(path)
     ids = np.array(encoding.encode_ordinary(text), np.int64)
     token_ends = np.cumsum(lengths[ids]) if len(ids) else np.array([], np.int64)
-    data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-    first_bytes = np.flatnonzero((data & 0xC0) != 0x80)  # of each character
-    char_bytes = np.r_[first_bytes, len(data)]
-    kind = np.full(len(text) + 1, -1, np.int8)
-    at_char = np.isin(token_ends, char_bytes)
-    offsets_of_tokens = np.searchsorted(char_bytes, token_ends[at_char])
-    kind[offsets_of_tokens] = TOKEN
-    for rank, pattern in _ENDS:
-        found = np.fromiter((m.start() for m in pattern.finditer(text)), np.int64)
-        found = found[kind[found] >= TOKEN]
-        kind[found] = rank
+    chars = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    # bytes up to each character, and the characters at which a token ends
+    char_bytes = np.r_[0, np.cumsum(1 + (chars > 0x7F).astype(np.int64) + (chars > 0x7FF) + (chars > 0xFFFF))]
+    at = np.searchsorted(char_bytes, token_ends)
+    kind = np.full(len(chars) + 1, -1, np.int8)
+    kind[at[char_bytes[at] == token_ends]] = TOKEN
+    for rank, places in _ends(chars):
+        kind[places[kind[places] >= TOKEN]] = rank
     kind[0] = -1
     offsets = np.flatnonzero(kind >= TOKEN)
     tokens = np.searchsorted(token_ends, char_bytes[offsets], side="right")
     return offsets, tokens, kind[offsets]
 
 
+def _ends(chars: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(kind, places) from words to paragraphs: before a single space between words, behind a stop, behind line feeds."""
+    n = len(chars)
+    if n < 2:
+        return
+    space = np.isin(chars, _SPACES)
+    feed = chars == 10
+    before_word = np.zeros(n, bool)
+    before_word[1:-1] = (chars[1:-1] == 32) & ~space[:-2] & ~space[2:]
+    behind = np.zeros(n, bool)
+    yield WORD, np.flatnonzero(before_word)
+    behind[1:] = np.isin(chars[:-1], _STOPS) & before_word[1:] | np.isin(chars[:-1], _WIDE_STOPS) & ~space[1:] & ~np.isin(chars[1:], _CLOSERS)
+    yield SENTENCE, np.flatnonzero(behind)
+    line = np.zeros(n, bool)
+    line[1:] = feed[:-1] & ~feed[1:]
+    yield LINE, np.flatnonzero(line)
+    empty = np.zeros(n, bool)
+    empty[2:] = feed[:-2] & line[2:]
+    empty[3:] |= feed[:-3] & (chars[1:-2] == 13) & line[3:]
+    yield PARAGRAPH, np.flatnonzero(empty)
+
+
 def choose(offsets: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, limit: int, overlap: int) -> list[tuple[int, int, int]]:
     """(start, end, tokens) of the pieces of a text, by its boundary table alone."""
     total = int(tokens[-1]) if len(tokens) else 0
@@ -108,13 +124,38 @@ def choose(offsets: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, limit: in
         start, start_tokens = int(offsets[begin]), int(tokens[begin])
 
 
-def exact_pieces(text: str, pieces: list[tuple[int, int, int]], limit: int, base: int = 0, path: str = VOCABULARY) -> Iterator[tuple[int, int, int, str]]:
-    """(start, end, tokens, text) with tokens counted on each piece; longer ones are halved at a space until they fit."""
+def _anew_at(text: str, i: int) -> bool:
+    """Whether tokens begin anew at a place whatever stands before."""
+    if i <= 0 or i >= len(text):
+        return True
+    a, b = text[i - 1], text[i]
+    if b == " ":
+        return not a.isspace() and i + 1 < len(text) and not text[i + 1].isspace()
+    return a == "\n" and not b.isspace() or a in "。！？" and b.isalnum()
+
+
+def exact_pieces(
+    text: str, pieces: list[tuple[int, int, int]], limit: int, base: int = 0, path: str = VOCABULARY, table: tuple | None = None
+) -> Iterator[tuple[int, int, int, str]]:
+    """(start, end, tokens, text) with the tokens of each piece as a text of its own; longer ones are halved until they fit.
+
+    With the boundary table of the text only the last word of a piece is tokenized again, where the piece begins and
+    ends at places at which tokens begin anew: before it the tokens are those of the text.
+    """
     stack = [(a, b) for a, b, _ in reversed(pieces)]
+    if table is not None:
+        words = np.flatnonzero((table[2] == WORD) | (table[2] == SENTENCE))
+        word_at, word_tokens = table[0][words], table[1][words]
     while stack:
         a, b = stack.pop()
         piece = text[a - base : b - base]
-        n = count(piece, path)
+        n = None
+        if table is not None and _anew_at(text, a - base) and _anew_at(text, b - base):
+            k = int(np.searchsorted(word_at, b)) - 1
+            start = 0 if a == 0 else int(np.searchsorted(table[0], a))
+            if k >= 0 and word_at[k] > a and (a == 0 or table[0][start] == a) and _anew_at(text, int(word_at[k]) - base):
+                n = int(word_tokens[k]) - (0 if a == 0 else int(table[1][start])) + count(text[int(word_at[k]) - base : b - base], path)
+        n = count(piece, path) if n is None else n
         if n <= limit or b - a <= 1:
             yield a, b, n, piece
             continue
@@ -155,8 +196,9 @@ def split(documents: DataFrame, limits: DataFrame, path: str = VOCABULARY, size:
                 limit, overlap = limit_of.get(kind, (0, 0))
                 # a token has at least one byte: short texts needn't be tokenized
                 if limit and (len(text) * 4 > limit) and len(text.encode("utf-8", "replace")) > limit and not text.isspace():
-                    pieces = choose(*boundary_table(text, path), limit, overlap)
-                    out += [(doc, kind, i, *piece) for i, piece in enumerate(exact_pieces(text, pieces, limit, path=path))]
+                    table = boundary_table(text, path)
+                    pieces = choose(*table, limit, overlap)
+                    out += [(doc, kind, i, *piece) for i, piece in enumerate(exact_pieces(text, pieces, limit, path=path, table=table))]
             yield _batch(out, _PIECES)
 
     return short.mapInArrow(cut, PIECES).unionByName(_split_long(rows.where(F.length("text") > size), limit_of, path, size))
