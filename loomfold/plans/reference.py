@@ -41,6 +41,7 @@ def _told(x: Column) -> tuple[Column, Column]:
 
 #: SQL pieces that several queries share.
 TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+OBSERVED = r"regexp_replace(m.content, '^OBSERVATION:\s*', '')"
 NORMAL = r"lower(trim(regexp_replace(coalesce({}, ''), '\s+', ' ', 'g')))"
 
 
@@ -92,7 +93,7 @@ def tool_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(rf"""WITH x AS (SELECT row_no, unnest(trajectory) AS m FROM raw_trajectory)
-    SELECT row_no, count(*) AS n, sum(length({TRIM.format("regexp_replace(m.content, '^OBSERVATION:\s*', '')")}))::BIGINT AS chars,
+    SELECT row_no, count(*) AS n, sum(length({TRIM.format(OBSERVED)}))::BIGINT AS chars,
         count(*) FILTER (WHERE m.content LIKE 'OBSERVATION:%') AS prefixed FROM x WHERE m.content IS NOT NULL GROUP BY row_no""")
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _t(spark, sf_dir, "raw_trajectory").select("row_no", F.explode("trajectory").alias("m")).where("m.content IS NOT NULL")
