@@ -38,9 +38,18 @@ RANGE, MAX_KINDS = 32_768, 10_000
 
 #: Kinds of boundaries, the better the larger.
 TOKEN, WORD, SENTENCE, LINE, PARAGRAPH = 0, 1, 2, 3, 4
-_SPACES = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288], np.uint32)
-_CLOSERS = np.array([*map(ord, "。！？」』）】…、，)]}\"'.!?,;:")], np.uint32)
-_STOPS, _WIDE_STOPS = np.array([*map(ord, ".!?")], np.uint32), np.array([*map(ord, "。！？")], np.uint32)
+
+
+def _table(codes) -> np.ndarray:
+    """Which of the first 65536 characters are in a set; the last place stands for all beyond."""
+    table = np.zeros(1 << 16, bool)
+    table[list(codes)] = True
+    return table
+
+
+_SPACES = _table([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])
+_CLOSERS = _table(map(ord, "。！？」』）】…、，)]}\"'.!?,;:"))
+_STOPS, _WIDE_STOPS = _table(map(ord, ".!?")), _table(map(ord, "。！？"))
 _ANEW = re.compile(r"(?<=\S)(?= \S)|(?<=\n)(?=\S)")
 
 
@@ -52,10 +61,16 @@ def _begin(part: str, at: int, halo: int) -> int:
     return found.start() if found else at
 
 
-def boundary_table(text: str, path: str = VOCABULARY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(offset in characters, tokens up to there, kind) of the places in a text where a piece may end, its end included."""
+def boundary_table(text: str, path: str = VOCABULARY, beyond: int = -1) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(offset in characters, tokens up to there, kind) of the places in a text where a piece may end, its end included.
+
+    None if the text has no more tokens than ``beyond``.
+    """
     encoding, lengths = encoder(path)
-    ids = np.array(encoding.encode_ordinary(text), np.int64)
+    ids = encoding.encode_ordinary(text)
+    if len(ids) <= beyond:
+        return None
+    ids = np.array(ids, np.int64)
     token_ends = np.cumsum(lengths[ids]) if len(ids) else np.array([], np.int64)
     chars = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     # bytes up to each character, and the characters at which a token ends
@@ -76,13 +91,14 @@ def _ends(chars: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     n = len(chars)
     if n < 2:
         return
-    space = np.isin(chars, _SPACES)
+    low = np.minimum(chars, 0xFFFF)
+    space = _SPACES[low]
     feed = chars == 10
     before_word = np.zeros(n, bool)
     before_word[1:-1] = (chars[1:-1] == 32) & ~space[:-2] & ~space[2:]
     behind = np.zeros(n, bool)
     yield WORD, np.flatnonzero(before_word)
-    behind[1:] = np.isin(chars[:-1], _STOPS) & before_word[1:] | np.isin(chars[:-1], _WIDE_STOPS) & ~space[1:] & ~np.isin(chars[1:], _CLOSERS)
+    behind[1:] = _STOPS[low[:-1]] & before_word[1:] | _WIDE_STOPS[low[:-1]] & ~space[1:] & ~_CLOSERS[low[1:]]
     yield SENTENCE, np.flatnonzero(behind)
     line = np.zeros(n, bool)
     line[1:] = feed[:-1] & ~feed[1:]
@@ -196,7 +212,9 @@ def split(documents: DataFrame, limits: DataFrame, path: str = VOCABULARY, size:
                 limit, overlap = limit_of.get(kind, (0, 0))
                 # a token has at least one byte: short texts needn't be tokenized
                 if limit and (len(text) * 4 > limit) and len(text.encode("utf-8", "replace")) > limit and not text.isspace():
-                    table = boundary_table(text, path)
+                    table = boundary_table(text, path, limit)
+                    if table is None:
+                        continue
                     pieces = choose(*table, limit, overlap)
                     out += [(doc, kind, i, *piece) for i, piece in enumerate(exact_pieces(text, pieces, limit, path=path, table=table))]
             yield _batch(out, _PIECES)
