@@ -92,3 +92,40 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {"p8_draws": p8_draws, "p8_shares": p8_shares, "p9_pieces": p9_pieces, "p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
+
+
+#: Pieces of SQL that several queries share: columns with JSON text inside JSON opened, and the usable values of a field.
+_OPEN = "CASE json_type({0}) WHEN 'VARCHAR' THEN json_extract_string({0}, '$') ELSE {0} END"
+_NO_VALUE = ", ".join(f"'{w}'" for w in sorted(fusion.NO_VALUE))
+
+SQL["p6_found"] = f"""
+    WITH r AS (SELECT rec_no, right(lower(regexp_replace(id, '^\\s+|\\s+$', '', 'g')), 16) AS g, source, {_OPEN.format("metadata")} AS m, {_OPEN.format("quality")} AS q FROM records),
+    k AS (SELECT g, min(rec_no) AS group_no FROM r WHERE g <> '' GROUP BY g HAVING count(*) > 1),
+    v AS (SELECT k.group_no, r.rec_no, r.source, r.m, r.q, coalesce(a.trust, b.trust, 0) AS trust,
+            coalesce(try_cast(json_extract_string(r.m, '$.fetched_at') AS DOUBLE), epoch(try_cast(replace(replace(json_extract_string(r.m, '$.fetched_at'), 'T', ' '), 'Z', '') AS TIMESTAMP)), -1e18) AS fetched
+        FROM r JOIN k USING (g) LEFT JOIN sources a ON lower(trim(r.source)) = a.source_key LEFT JOIN sources b ON json_extract_string(r.m, '$.hf_id') = b.hf_id),
+    f AS (SELECT group_no, rec_no, trust, fetched, unnest(['license', 'repo', 'instance_id', 'score', 'source']) AS field_name,
+            unnest([json_extract_string(m, '$.license'), json_extract_string(m, '$.repo'), json_extract_string(m, '$.instance_id'), json_extract_string(q, '$.score'), source]) AS value FROM v),
+    u AS (SELECT *, max(trust) OVER w AS most, max(fetched) OVER w AS last FROM f WHERE lower(trim(value)) NOT IN ({_NO_VALUE}) WINDOW w AS (PARTITION BY group_no, field_name))
+    SELECT group_no, field_name, min(rec_no) AS rec_no FROM u WHERE trust = most AND fetched = last GROUP BY ALL"""
+
+_RUNS = """regexp_extract_all(lower(coalesce({0}, '')), '[\\p{{L}}\\p{{N}}]+')"""
+SQL["p7_found"] = f"""
+    WITH d AS (SELECT doc_id, {_RUNS.format("text")} AS w FROM documents), i AS (SELECT item_id, {_RUNS.format("item_text")} AS w FROM eval_items),
+    a AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda p: array_to_string(w[p : p + 11], ' '))) AS run FROM i WHERE len(w) >= 12),
+    b AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda p: array_to_string(w[p : p + 11], ' '))) AS run FROM d WHERE len(w) >= 12)
+    SELECT DISTINCT doc_id, item_id FROM a JOIN b USING (run)"""
+SQL["p7_clean"] = f"SELECT doc_id, source, doc_kind FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({SQL['p7_found']}))"
+
+SQL["p4_found"] = """
+    WITH m AS (SELECT rec_no, tool_names, CASE WHEN json_valid(messages) THEN CASE json_type(messages) WHEN 'VARCHAR' THEN json_extract_string(messages, '$') ELSE messages END END AS j FROM records),
+    x AS (SELECT rec_no, generate_subscripts(json_extract(j, '$[*]'), 1) AS pos, unnest(json_extract(j, '$[*]')) AS e FROM m WHERE j IS NOT NULL),
+    c AS (SELECT rec_no, pos, CASE json_type(e, '$.content') WHEN 'VARCHAR' THEN json_extract_string(e, '$.content') WHEN 'ARRAY' THEN array_to_string(json_extract_string(e, '$.content[*].text'), E'\\n') END AS t
+        FROM x WHERE json_extract_string(e, '$.role') IN ('user', 'assistant')),
+    t AS (SELECT rec_no, string_agg(t, ' ' ORDER BY pos) AS t FROM c WHERE t <> '' GROUP BY rec_no),
+    w AS (SELECT m.rec_no, list_filter(regexp_split_to_array(lower(concat_ws(' ', t.t, array_to_string(list_sort(m.tool_names), ' '))), '[\\s\\x0B\\x1C-\\x1F\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'),
+        lambda v: v <> '') AS w FROM m LEFT JOIN t USING (rec_no) WHERE m.j IS NOT NULL),
+    s AS (SELECT rec_no, list_distinct(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda p: array_to_string(w[p : p + 2], ' ')) END) AS s FROM w),
+    r AS (SELECT rec_no, len(s) AS n, unnest(s) AS run FROM s),
+    b AS (SELECT a.rec_no AS rec_a, b.rec_no AS rec_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common FROM r a JOIN r b ON a.run = b.run AND a.rec_no < b.rec_no GROUP BY ALL)
+    SELECT rec_a, rec_b FROM b WHERE 10 * common >= 7 * (na + nb - common)"""
