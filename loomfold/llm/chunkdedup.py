@@ -37,30 +37,47 @@ from loomfold.llm.nearjoin import minwise, sketch_distance, sketches
 from loomfold.llm.texts import both, mixed, record_text, runs
 from loomfold.session import shared_dir, ship, spread, written
 
-WINDOW, DIVISOR, COVERAGE = 8, 16, 0.45
+COVERAGE = 0.45
+#: Resolutions of chunks: window and mean size in bytes, and the lengths of texts that have them. Short texts are cut
+#: finer, for one edit would touch most of their chunks; texts alike enough to be duplicates have a resolution in common.
+RESOLUTIONS = ((4, 8, 0, 600), (8, 16, 300, 1 << 62))
 ROWS = "key bigint, tail string, set_id binary, hashes array<bigint>"
 
 _GEAR = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def chunks(text: str) -> tuple[list[int], list[int]]:
-    """Distinct chunk hashes of the lower-cased text with single spaces, and their bytes."""
+    """Distinct chunk hashes of the lower-cased text with single spaces, and their bytes; the lowest bit tells the resolution."""
     data = " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
-    rolling = np.zeros(len(data), np.uint64)
     each = _GEAR[np.frombuffer(data, np.uint8)]
-    for back in range(min(WINDOW, len(data))):
-        rolling[back:] += each[: len(data) - back] << np.uint64(3 * back)
-    ends = np.flatnonzero(mixed(rolling) % np.uint64(DIVISOR) == 0) + 1
-    if len(ends) == 0 or ends[-1] != len(data):
-        ends = np.r_[ends, len(data)]
     found: dict[int, int] = {}
-    at = 0
-    for end in ends.tolist():
-        found[xxhash.xxh64_intdigest(data[at:end]) - (1 << 63)] = end - at
-        at = end
+    for resolution, (window, divisor, least, most) in enumerate(RESOLUTIONS):
+        if not least <= len(data) < most:
+            continue
+        rolling = np.zeros(len(data), np.uint64)
+        for back in range(min(window, len(data))):
+            rolling[back:] += each[: len(data) - back] << np.uint64(3 * back)
+        ends = np.flatnonzero(mixed(rolling) % np.uint64(divisor) == 0) + 1
+        if len(ends) == 0 or ends[-1] != len(data):
+            ends = np.r_[ends, len(data)]
+        at = 0
+        for end in ends.tolist():
+            if end > at:
+                found[(xxhash.xxh64_intdigest(data[at:end]) & ~1 | resolution) - (1 << 63)] = end - at
+            at = end
     return list(found), list(found.values())
 
 
+def coverage(a: dict[int, int], b: dict[int, int]) -> float:
+    """The share of the bytes of the longer text that lie in common chunks, in the better resolution."""
+    shares = [0.0]
+    for resolution in range(len(RESOLUTIONS)):
+        x, y = ({h: n for h, n in c.items() if h & 1 == resolution} for c in (a, b))
+        if x and y:
+            shares.append(sum(n for h, n in x.items() if h in y) / max(sum(x.values()), sum(y.values()), 1))
+    return max(shares)
+
+
 def id_tail(column: str = "id"):
     """The last 16 characters of an id, outer spaces and letter case ignored; null where there are none."""
     tail = F.substring(F.lower(F.regexp_replace(column, r"^\s+|\s+$", "")), -16, 16)
@@ -111,9 +128,7 @@ def _compare(size: int):
         out = []
         for am, an, bm, bn in zip(a_messages.to_pylist(), a_names.to_pylist(), b_messages.to_pylist(), b_names.to_pylist()):
             x, y = record_text(am, an), record_text(bm, bn)
-            cx, cy = dict(zip(*chunks(x))), dict(zip(*chunks(y)))
-            shared = sum(n for h, n in cx.items() if h in cy)
-            covered = shared / max(sum(cx.values()), sum(cy.values()), 1)
+            covered = coverage(dict(zip(*chunks(x))), dict(zip(*chunks(y))))
             rx, ry = runs(x, size), runs(y, size)
             common = both(rx, ry)
             out.append({"covered": covered, "common": common, "either": len(rx) + len(ry) - common})
@@ -149,7 +164,7 @@ class History:
         everything = old.select(F.explode("hashes").alias("chunk"), (own + 1).alias("b")).union(new.select(F.explode("hashes"), own)).repartition("chunk")
         frequency = everything.groupBy("chunk").count().where("count > 1")
         mine = new.select(F.col("key").alias("a"), F.explode(F.arrays_zip("hashes", "sizes")).alias("c")).select("a", F.col("c.hashes").alias("chunk"), F.col("c.sizes").alias("bytes"))
-        total = Window.partitionBy("a")
+        total = Window.partitionBy("a", F.col("chunk").bitwiseAND(1))  # each resolution for itself
         rarest = total.orderBy("count", "chunk").rowsBetween(Window.unboundedPreceding, -1)
         ranked = mine.join(frequency, "chunk", "left").fillna(1, ["count"])
         before = ranked.withColumn("before", F.coalesce(F.sum("bytes").over(rarest), F.lit(0))).withColumn("total", F.sum("bytes").over(total))
