@@ -30,6 +30,7 @@ def open_structures(text: str) -> list[str]:
     only the end of the code counts. Lone quotation marks (inches, apostrophes) count within the last paragraph only.
     """
     stack: list[str] = []
+    tagged = False
     fence_lines = {m.end() - 3 for m in _FENCE.finditer(text)}
     last_paragraph = text.rfind("\n\n") + 1
     for m in _TOKEN.finditer(text):
@@ -51,14 +52,15 @@ def open_structures(text: str) -> list[str]:
         if stack and stack[-1] == "`":
             continue
         if token[0] == "<" and m.group(2):
-            name = m.group(2).lower()
+            name, tagged = m.group(2).lower(), True
             if m.group(1):
                 if f"<{name}" in stack:
                     del stack[len(stack) - 1 - stack[::-1].index(f"<{name}") :]
             elif not m.group(4) and name not in VOID_TAGS:
                 stack.append(f"<{name}")
         elif token[0] == "<":
-            stack.append("<")
+            if tagged:  # else it may be a comparison
+                stack.append("<")
         elif token == '"':
             if '"' in stack:
                 del stack[len(stack) - 1 - stack[::-1].index('"') :]
@@ -127,7 +129,7 @@ def cut_reason(text: str | None, answer: bool = True, log: bool = False) -> str
         return "markup"
     if any(s in OPENING for s in stack) and _open_at_end(body, stack):
         return "bracket"
-    if '"' in stack and body[-1] != '"':
+    if '"' in stack and body[-1] not in TERMINATORS:
         return "quote"
     if _DOTS.search(body):
         return "ending"
