@@ -133,7 +133,7 @@ def cut_reason(text: str | None, answer: bool = True, log: bool = False) -> str
         return "quote"
     if _DOTS.search(body):
         return "ending"
-    if body[-1] in TERMINATORS or log:
+    if body[-1] in TERMINATORS or log or body[-1] == "," and body[-2:-1] in (".", "!", "?"):
         return None
     return None if _whole_without_stop(body, answer) else "ending"
 
@@ -179,7 +179,7 @@ def _whole_without_stop(body: str, answer: bool) -> bool:
         # a list: items without a full stop, closed by a whole item
         lines = [x for x in body.split("\n") if _ITEM.match(x)]
         shape = lambda x: len(re.findall(r"[^\W\d_]+|\d+", x))
-        return len(lines) == 1 or abs(shape(line) - shape(lines[-2])) <= 1
+        return len(lines) == 1 or shape(line) >= shape(lines[-2]) - 1
     if answer:  # a number, a name, a few words
         return len(body) <= 40 and len(body.split()) <= 4 and not re.search(r"[.!?。]\s", body)
     return False
