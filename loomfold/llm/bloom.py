@@ -1,7 +1,7 @@
 """A Bloom filter of fixed size: keeps rows that surely aren't wanted out of a shuffle.
 
-The filter has ``BITS`` bits whatever the number of keys, so what is collected and shipped is bounded (1 MiB). With
-many more keys than bits it lets everything pass: more is shuffled then, and the result stays the same.
+The filter has ``bits`` bits whatever the number of keys, so what is collected and shipped is bounded (1 MiB unless
+more is asked for). With many more keys than bits it lets everything pass: more is shuffled then, and the result stays the same.
 """
 
 from __future__ import annotations
@@ -17,39 +17,39 @@ from loomfold.llm.texts import mixed
 BITS, _CHUNK = 1 << 23, 1 << 15
 
 
-def _places(keys: np.ndarray) -> np.ndarray:
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
     h = mixed(keys.astype(np.int64).view(np.uint64) + np.uint64(1))
-    return np.concatenate([h & np.uint64(BITS - 1), (h >> np.uint64(32)) & np.uint64(BITS - 1)]).astype(np.int64)
+    return np.concatenate([h & np.uint64(bits - 1), (h >> np.uint64(32)) & np.uint64(bits - 1)]).astype(np.int64)
 
 
-def build(keys: DataFrame) -> np.ndarray:
-    """The filter of a column of integers, as one bit per place."""
+def build(keys: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The filter of a column of integers, as one bit per place; bits is a power of two of at most 2 ** 32."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITS, bool)
+        marks = np.zeros(bits, bool)
         for batch in batches:
-            bits[_places(batch.column(0).drop_null().to_numpy())] = True
-        chunks = np.packbits(bits.reshape(-1, _CHUNK), axis=1)
+            marks[_places(batch.column(0).drop_null().to_numpy(), bits)] = True
+        chunks = np.packbits(marks.reshape(-1, _CHUNK), axis=1)
         used = np.flatnonzero(chunks.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([chunks[i].tobytes() for i in used], pa.binary())], ["chunk", "bits"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for chunk, bits in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist()):
-                own = np.frombuffer(bits, np.uint8)
+            for chunk, part in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist()):
+                own = np.frombuffer(part, np.uint8)
                 total[chunk] = total[chunk] | own if chunk in total else own
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["chunk", "bits"])
 
     schema = "chunk int, bits binary"
-    packed = np.zeros((BITS // _CHUNK, _CHUNK // 8), np.uint8)
-    for chunk, bits in keys.mapInArrow(mark, schema).repartition("chunk").mapInArrow(merge, schema).collect():
-        packed[chunk] = np.frombuffer(bits, np.uint8)
+    packed = np.zeros((bits // _CHUNK, _CHUNK // 8), np.uint8)
+    for chunk, part in keys.mapInArrow(mark, schema).repartition("chunk").mapInArrow(merge, schema).collect():
+        packed[chunk] = np.frombuffer(part, np.uint8)
     return packed.ravel()
 
 
 def may_hold(packed: np.ndarray, keys: pa.Array) -> np.ndarray:
     """Which keys may be in the filter; nulls are not."""
-    places = _places(keys.fill_null(0).to_numpy())
+    places = _places(keys.fill_null(0).to_numpy(), len(packed) * 8)
     hit = (packed[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1
     return hit.reshape(2, -1).all(axis=0) & keys.is_valid().to_numpy(zero_copy_only=False)

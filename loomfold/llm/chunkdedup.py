@@ -41,6 +41,7 @@ COVERAGE = 0.45
 #: Resolutions of chunks: window and mean size in bytes, and the lengths of texts that have them. Short texts are cut
 #: finer, for one edit would touch most of their chunks; texts alike enough to be duplicates have a resolution in common.
 RESOLUTIONS = ((4, 8, 0, 600), (8, 16, 300, 1 << 62))
+CHUNK_BITS = 1 << 25  # of the filter of a batch's chunks: 4 MiB
 ROWS = "key bigint, tail string, set_id binary, hashes array<bigint>"
 
 _GEAR = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -122,6 +123,21 @@ def _first_rows(signed: DataFrame, classes: DataFrame) -> DataFrame:
     return signed.where("set_id IS NOT NULL").mapInArrow(keep, signed.schema)
 
 
+def _with_chunks(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(key, hashes) with the chunks that a filter lets pass."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("hashes")
+            flat = hashes.flatten()
+            passed = may_hold(wanted, flat) if len(flat) else np.array([], bool)
+            ends = np.r_[0, np.cumsum(hashes.value_lengths().fill_null(0).to_numpy())]
+            kept = np.r_[0, np.cumsum(passed)][ends].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(kept, flat.filter(pa.array(passed)))], ["key", "hashes"])
+
+    return rows.mapInArrow(keep, "key bigint, hashes array<bigint>")
+
+
 def _compare(size: int):
     def compare(a_messages: pa.Array, a_names: pa.Array, b_messages: pa.Array, b_names: pa.Array) -> pa.Array:
         """Covered share of either text by shared chunks, and common and all runs, of batches of two records."""
@@ -161,7 +177,9 @@ class History:
         old = _first_rows(old, _classes(old))
         # one column holds the class and whether it is old: 2 x key + 1 or 2 x key
         own = F.col("key") * 2
-        everything = old.select(F.explode("hashes").alias("chunk"), (own + 1).alias("b")).union(new.select(F.explode("hashes"), own)).repartition("chunk")
+        # chunks of history that the batch surely doesn't have stay out of the shuffle
+        met_chunks = _with_chunks(old.select("key", "hashes"), build(new.select(F.explode("hashes")), CHUNK_BITS))
+        everything = met_chunks.select(F.explode("hashes").alias("chunk"), (own + 1).alias("b")).union(new.select(F.explode("hashes"), own)).repartition("chunk")
         frequency = everything.groupBy("chunk").count().where("count > 1")
         mine = new.select(F.col("key").alias("a"), F.explode(F.arrays_zip("hashes", "sizes")).alias("c")).select("a", F.col("c.hashes").alias("chunk"), F.col("c.sizes").alias("bytes"))
         total = Window.partitionBy("a", F.col("chunk").bitwiseAND(1))  # each resolution for itself
