@@ -203,9 +203,11 @@ def fuse(records: DataFrame, sources: DataFrame, key: str = "rec_no") -> DataFra
 
     votes = items.mapInArrow(weigh, "group_id string, field_name string, plain string, vote double, votes double, posterior double")
     item = ["group_id", "field_name"]
-    best = all_claims.groupBy(item).agg(F.max("trust").alias("top_trust"), F.max("fetched").alias("top_fetched"))
+    best = all_claims.groupBy(item).agg(F.max(F.struct("trust", "fetched")).alias("trusted"), F.max(F.struct("fetched", "trust")).alias("newest"))
     blocks = all_claims.groupBy(*item, "trust", "fetched").agg(F.min(F.struct("key", "value")).alias("c"))
-    blocks = blocks.join(best, item).withColumn("rank", (F.col("trust") == F.col("top_trust")).cast("int") + (F.col("fetched") == F.col("top_fetched")).cast("int"))
+    # the newest of the most trusted rows and the most trusted of the newest: one and the same where no other surpasses it
+    is_ = lambda c: ((F.col("trust") == F.col(f"{c}.trust")) & (F.col("fetched") == F.col(f"{c}.fetched"))).cast("int")
+    blocks = blocks.join(best, item).withColumn("rank", is_("trusted") + is_("newest"))
     weighed = blocks.withColumn("plain", F.lower(F.trim("c.value"))).join(votes, [*item, "plain"], "left")
     # the prior of a row outweighs all votes of its item: rank by rank
     score = F.struct("rank", F.coalesce("vote", F.lit(-1e9)), -F.col("c.key"))

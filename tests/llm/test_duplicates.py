@@ -178,7 +178,7 @@ def test_votes_decide_between_trust_and_recency(spark):
 
 
 def test_copied_votes_are_discounted():
-    accuracy = {"a": 0.8, "b": 0.7, "c": 0.7}
+    accuracy = {"a": 0.85, "b": 0.7, "c": 0.7}
     alone = fusion.value_votes(["a", "b", "c"], ["x", "y", "y"], accuracy, {})
     copied = fusion.value_votes(["a", "b", "c"], ["x", "y", "y"], accuracy, {("b", "c"): 0.99})
     assert alone["y"] > alone["x"] and copied["y"] < copied["x"]
