@@ -1,15 +1,14 @@
-"""Deduplicating new batches against all history by content-defined chunks.
+"""Deduplicating new batches against all history by a persistent table of word runs.
 
-Accepted texts are cut at boundaries set by a rolling hash, so an edit moves only the chunks it touches. A persistent
-table holds the chunk hashes of each accepted record, with its identity and a sketch of 128 bits; a batch is looked up
-by its own chunks, and its accepted rows are appended, so history is never read as text again but for the few
-candidates.
+The table holds the runs of each accepted record (cut to 40 bits), with its identity and a sketch of 128 bits; a batch
+is looked up by its own runs, and its accepted rows are appended, so history is never read as text again but for the
+few candidates.
 
-A row of the batch covers an accepted one if the bytes of their shared chunks are at least ``COVERAGE`` of either
-text; pairs that cover each other are then checked exactly. To find all of them without meeting everybody in the
-chunks of common phrases, each new text looks up only its rarest chunks that together hold more than 1 - COVERAGE of
-its bytes: a text that shares COVERAGE of its bytes must share one of these. Nothing is capped. Pairs that met are compared by
-their sketches before their texts are fetched.
+A pair at the threshold has at least ``tenths`` tenths of the runs of either text in common. So each new text looks up
+only as many of its rarest runs that the others alone couldn't be enough, and a text of history whose runs the batch
+has too few of is left out: both bounds hold for every pair, whatever the lengths and edits, and texts that share
+common phrases alone don't meet. Nothing is capped. Pairs that met are compared by their sketches before their texts
+are fetched, then counted exactly.
 
 The accepted rows are the greedy choice by ascending number: rounds accept every row that is the first undecided
 among its id, its class and the linked classes, then reject what these block. Copies are one class and one id is one
@@ -37,18 +36,20 @@ from loomfold.llm.nearjoin import minwise, sketch_distance, sketches
 from loomfold.llm.texts import both, mixed, record_text, runs
 from loomfold.session import shared_dir, ship, spread, written
 
-COVERAGE = 0.45
-#: Resolutions of chunks: window and mean size in bytes, and the lengths of texts that have them. Short texts are cut
-#: finer, for one edit would touch most of their chunks; texts alike enough to be duplicates have a resolution in common.
+#: Resolutions of ``chunks``: window and mean size in bytes, and the lengths of texts that have them.
 RESOLUTIONS = ((4, 8, 0, 600), (8, 16, 300, 1 << 62))
-CHUNK_BITS = 1 << 25  # of the filter of a batch's chunks: 4 MiB
-ROWS = "key bigint, tail string, set_id binary, hashes array<bigint>"
+RUN_BITS = 1 << 25  # of the filter of a batch's runs: 4 MiB
+TOKEN_SHIFT = 24  # 40 bits of a run are kept; runs that agree in them may meet, but are counted whole
+ROWS = "key bigint, tail string, set_id binary, tokens array<bigint>, s0 bigint, s1 bigint"
 
 _GEAR = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def chunks(text: str) -> tuple[list[int], list[int]]:
-    """Distinct chunk hashes of the lower-cased text with single spaces, and their bytes; the lowest bit tells the resolution."""
+    """Distinct chunk hashes of the lower-cased text with single spaces, and their bytes; the lowest bit tells the resolution.
+
+    Lookups don't use chunks: no share of common chunks is sure for texts of a given likeness.
+    """
     data = " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
     each = _GEAR[np.frombuffer(data, np.uint8)]
     found: dict[int, int] = {}
@@ -69,16 +70,6 @@ def chunks(text: str) -> tuple[list[int], list[int]]:
     return list(found), list(found.values())
 
 
-def coverage(a: dict[int, int], b: dict[int, int]) -> float:
-    """The share of the bytes of the longer text that lie in common chunks, in the better resolution."""
-    shares = [0.0]
-    for resolution in range(len(RESOLUTIONS)):
-        x, y = ({h: n for h, n in c.items() if h & 1 == resolution} for c in (a, b))
-        if x and y:
-            shares.append(sum(n for h, n in x.items() if h in y) / max(sum(x.values()), sum(y.values()), 1))
-    return max(shares)
-
-
 def id_tail(column: str = "id"):
     """The last 16 characters of an id, outer spaces and letter case ignored; null where there are none."""
     tail = F.substring(F.lower(F.regexp_replace(column, r"^\s+|\s+$", "")), -16, 16)
@@ -86,25 +77,23 @@ def id_tail(column: str = "id"):
 
 
 def _identities(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """(key, tail, set_id, hashes, sizes, s0, s1) of rows with id, messages and tool_names; nulls where messages can't be decoded."""
+    """(key, tail, set_id, tokens, s0, s1) of rows with id, messages and tool_names; nulls where messages can't be decoded."""
     ship(rows.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes, sizes, sets = [], [], [], []
+            ids, tokens, sets = [], [], []
             for messages, names in rows_of([batch.select(["messages", "tool_names"])]):
                 text = record_text(messages, names)
-                h, n = (None, None) if text is None else chunks(text)
                 sets.append(own := np.array([], np.uint64) if text is None else runs(text, size))
                 ids.append(None if text is None else xxhash.xxh3_128_digest(own.tobytes()))
-                hashes.append(h)
-                sizes.append(n)
+                tokens.append(None if text is None else (own >> np.uint64(TOKEN_SHIFT)).view(np.int64))
             sketch = sketches(minwise(sets))
-            columns = [pa.array(ids, pa.binary()), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("tail"), *columns], ["key", "tail", "set_id", "hashes", "sizes", "s0", "s1"])
+            columns = [pa.array(ids, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("tail"), *columns], ["key", "tail", "set_id", "tokens", "s0", "s1"])
 
     plain = spread(rows.select(F.col(key).cast("bigint").alias("key"), id_tail().alias("tail"), "messages", "tool_names"))
-    return plain.mapInArrow(sign, f"{ROWS}, sizes array<int>, s0 bigint, s1 bigint")
+    return plain.mapInArrow(sign, ROWS)
 
 
 def _classes(signed: DataFrame) -> DataFrame:
@@ -123,38 +112,44 @@ def _first_rows(signed: DataFrame, classes: DataFrame) -> DataFrame:
     return signed.where("set_id IS NOT NULL").mapInArrow(keep, signed.schema)
 
 
-def _with_chunks(rows: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """(key, hashes) with the chunks that a filter lets pass."""
+def _least(runs, tenths: int):
+    """The runs of a text that a near-duplicate has at the least: tenths of them, rounded up."""
+    return (runs * tenths + 9) // 10
+
+
+def _that_may_match(rows: DataFrame, wanted: np.ndarray, tenths: int) -> DataFrame:
+    """(key, tokens) of the rows of which a filter lets enough tokens pass for a near-duplicate, with these tokens."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = batch.column("hashes")
-            flat = hashes.flatten()
+            tokens = batch.column("tokens")
+            lengths = tokens.value_lengths().fill_null(0).to_numpy()
+            flat = tokens.flatten()
             passed = may_hold(wanted, flat) if len(flat) else np.array([], bool)
-            ends = np.r_[0, np.cumsum(hashes.value_lengths().fill_null(0).to_numpy())]
+            ends = np.r_[0, np.cumsum(lengths)]
+            enough = np.diff(np.r_[0, np.cumsum(passed)][ends]) >= _least(lengths, tenths)
+            passed &= np.repeat(enough, lengths)
             kept = np.r_[0, np.cumsum(passed)][ends].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(kept, flat.filter(pa.array(passed)))], ["key", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(kept, flat.filter(pa.array(passed)))], ["key", "tokens"])
 
-    return rows.mapInArrow(keep, "key bigint, hashes array<bigint>")
+    return rows.mapInArrow(keep, "key bigint, tokens array<bigint>")
 
 
 def _compare(size: int):
     def compare(a_messages: pa.Array, a_names: pa.Array, b_messages: pa.Array, b_names: pa.Array) -> pa.Array:
-        """Covered share of either text by shared chunks, and common and all runs, of batches of two records."""
+        """Common and all runs, of batches of two records."""
         out = []
         for am, an, bm, bn in zip(a_messages.to_pylist(), a_names.to_pylist(), b_messages.to_pylist(), b_names.to_pylist()):
-            x, y = record_text(am, an), record_text(bm, bn)
-            covered = coverage(dict(zip(*chunks(x))), dict(zip(*chunks(y))))
-            rx, ry = runs(x, size), runs(y, size)
+            rx, ry = runs(record_text(am, an), size), runs(record_text(bm, bn), size)
             common = both(rx, ry)
-            out.append({"covered": covered, "common": common, "either": len(rx) + len(ry) - common})
-        return pa.array(out, pa.struct([("covered", pa.float64()), ("common", pa.int32()), ("either", pa.int32())]))
+            out.append({"common": common, "either": len(rx) + len(ry) - common})
+        return pa.array(out, pa.struct([("common", pa.int32()), ("either", pa.int32())]))
 
     return compare
 
 
 class History:
-    """Everything accepted so far, as a table in a folder: (key, tail, set_id, hashes, sizes, s0, s1) of the accepted rows."""
+    """Everything accepted so far, as a table in a folder: (key, tail, set_id, tokens, s0, s1) of the accepted rows."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, key: str = "rec_no", size: int = 3, tenths: int = 7):
         self.spark, self.key, self.size, self.tenths = spark, key, size, tenths
@@ -169,7 +164,7 @@ class History:
         signed.write.mode("append").option("compression", "zstd").parquet(self.path)
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema(f"{ROWS}, sizes array<int>, s0 bigint, s1 bigint").parquet(self.path)
+        return self.spark.read.schema(ROWS).parquet(self.path)
 
     def _links(self, new: DataFrame, batch: DataFrame, texts: DataFrame) -> DataFrame:
         """(a, b, old): classes a of the batch and classes b of history (old) or of the batch that are near-duplicates."""
@@ -177,18 +172,17 @@ class History:
         old = _first_rows(old, _classes(old))
         # one column holds the class and whether it is old: 2 x key + 1 or 2 x key
         own = F.col("key") * 2
-        # chunks of history that the batch surely doesn't have stay out of the shuffle
-        met_chunks = _with_chunks(old.select("key", "hashes"), build(new.select(F.explode("hashes")), CHUNK_BITS))
-        everything = met_chunks.select(F.explode("hashes").alias("chunk"), (own + 1).alias("b")).union(new.select(F.explode("hashes"), own)).repartition("chunk")
-        frequency = everything.groupBy("chunk").count().where("count > 1")
-        mine = new.select(F.col("key").alias("a"), F.explode(F.arrays_zip("hashes", "sizes")).alias("c")).select("a", F.col("c.hashes").alias("chunk"), F.col("c.sizes").alias("bytes"))
-        total = Window.partitionBy("a", F.col("chunk").bitwiseAND(1))  # each resolution for itself
-        rarest = total.orderBy("count", "chunk").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = mine.join(frequency, "chunk", "left").fillna(1, ["count"])
-        before = ranked.withColumn("before", F.coalesce(F.sum("bytes").over(rarest), F.lit(0))).withColumn("total", F.sum("bytes").over(total))
-        # the rarest chunks up to the one that passes 1 - COVERAGE of the bytes; chunks nobody else has find nobody
-        lookup = before.where((F.col("before") <= F.col("total") * (1 - COVERAGE)) & (F.col("count") > 1)).select("chunk", "a")
-        met = lookup.join(everything, "chunk").where("b <> a * 2").select("a", "b").distinct()
+        # texts of history of whose runs the batch surely has too few stay out of the shuffle
+        met_runs = _that_may_match(old.select("key", "tokens"), build(new.select(F.explode("tokens")), RUN_BITS), self.tenths)
+        everything = met_runs.select(F.explode("tokens").alias("token"), (own + 1).alias("b")).union(new.select(F.explode("tokens"), own)).repartition("token")
+        frequency = everything.groupBy("token").count().where("count > 1")
+        mine = new.select(F.col("key").alias("a"), F.size("tokens").alias("runs"), F.explode("tokens").alias("token"))
+        rarest = Window.partitionBy("a").orderBy("count", "token")
+        ranked = mine.join(frequency, "token", "left").fillna(1, ["count"]).withColumn("place", F.row_number().over(rarest))
+        # without its rarest runs up to this place a text has one too few; runs nobody else has find nobody
+        least = F.expr(f"(runs * {self.tenths} + 9) div 10")
+        lookup = ranked.where((F.col("place") <= F.col("runs") - least + 1) & (F.col("count") > 1)).select("token", "a")
+        met = lookup.join(everything, "token").where("b <> a * 2").select("a", "b").distinct()
         sketch = old.select((own + 1).alias("b"), "s0", "s1").union(new.select(own, "s0", "s1"))
         seen = met.join(sketch, "b").join(new.select(F.col("key").alias("a"), F.col("s0").alias("t0"), F.col("s1").alias("t1")), "a")
         apart = F.bit_count(F.col("s0").bitwiseXOR(F.col("t0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("t1")))
@@ -197,13 +191,13 @@ class History:
         a_texts = self._wanted(batch, pairs.select("a"))
         old_texts = self._wanted(texts, pairs.where("old").select("b")).withColumn("old", F.lit(True))
         b_texts = old_texts.unionByName(self._wanted(batch, pairs.where("NOT old").select("b")).withColumn("old", F.lit(False)))
-        compare = F.arrow_udf(_compare(self.size), "struct<covered:double,common:int,either:int>")
+        compare = F.arrow_udf(_compare(self.size), "struct<common:int,either:int>")
         told = (
             pairs.join(a_texts.select(F.col("key").alias("a"), F.col("messages").alias("am"), F.col("tool_names").alias("an")), "a")
             .join(b_texts.select(F.col("key").alias("b"), "old", F.col("messages").alias("bm"), F.col("tool_names").alias("bn")), ["b", "old"])
             .select("a", "b", "old", compare("am", "an", "bm", "bn").alias("n"))
         )
-        return told.where((F.col("n.covered") >= COVERAGE) & (F.col("n.common") * 10 >= F.col("n.either") * self.tenths)).select("a", "b", "old")
+        return told.where(F.col("n.common") * 10 >= F.col("n.either") * self.tenths).select("a", "b", "old")
 
     def _wanted(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
         """(key, messages, tool_names) of the rows that a filter of the keys lets pass."""

@@ -117,6 +117,30 @@ def test_history_rejects_what_a_sequential_pass_rejects(spark, seed):
     assert again == {r[0] for r in incoming}
 
 
+def at_threshold(rng, words):
+    """The words with long ones put in, spread evenly, as many as just leave a likeness of 0.7."""
+    best, n = words, 0
+    while True:
+        n += 1
+        at = {round((i + 1) * len(words) / (n + 1)) for i in range(n)}
+        more = [x for i, w in enumerate(words) for x in ([f"{rng.randrange(16**16):016x}" * 2] if i in at else []) + [w]]
+        if not alike((0, "", said(" ".join(words)), None), (0, "", said(" ".join(more)), None)):
+            return best
+        best = more
+
+
+def test_pairs_at_the_threshold_are_rejected_in_long_texts(spark):
+    rng = random.Random(11)
+    texts = [[f"{rng.randrange(16**5):x}" for _ in range(rng.randrange(110, 400))] for _ in range(40)]
+    records = [(i, f"r_{i:016d}", said(" ".join(t)), None) for i, t in enumerate(texts)]
+    incoming = [(100 + i, f"n_{100 + i:016d}", said(" ".join(at_threshold(rng, t))), None) for i, t in enumerate(texts)]
+    incoming += [(300 + i, f"n_{300 + i:016d}", said(" ".join(edited(rng, t, len(t) // 6))), None) for i, t in enumerate(texts)]
+    assert min(len(r[2]) for r in records) > 600
+    history = History(spark).start(frame(spark, *records))
+    got = {r.key for r in history.admit(frame(spark, *incoming), frame(spark, *records)).collect()}
+    assert got == greedy(records, incoming) and got >= set(range(100, 140)) and len(got) < len(incoming)
+
+
 def test_batches_one_after_another_equal_one_batch(spark):
     rows = families(6, 30)
     first, second, third = rows[:25], rows[25:45], rows[45:]
