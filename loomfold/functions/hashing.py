@@ -33,8 +33,11 @@ def content_hash(messages: list[dict], tool_names: list[str]) -> str:
     return xxhash.xxh64_hexdigest("".join([*parts, *sorted(tool_names)]).encode("utf-8", "replace"))
 
 
-def shingles(messages: list[dict], tool_names: list[str], size: int = SHINGLE) -> list[str]:
-    """Distinct runs of words of what the assistant said and called, and of the tool names; very many are thinned evenly."""
+def shingles(messages: list[dict], tool_names: list[str], size: int = SHINGLE, most: int | None = MOST_SHINGLES) -> list[str]:
+    """Distinct runs of words of what the assistant said and called, and of the tool names.
+
+    More than ``most`` are thinned evenly by position, so that an edit moves all that follow off the stride; None keeps all.
+    """
     said: list[str] = []
     for m in messages:
         if m.get("role") == "assistant":
@@ -45,16 +48,16 @@ def shingles(messages: list[dict], tool_names: list[str], size: int = SHINGLE) -
     if len(words) < size:
         return [" ".join(words)] if words else []
     count = len(words) - size + 1
-    step = 1 if count <= MOST_SHINGLES else count // MOST_SHINGLES + 1
+    step = 1 if most is None or count <= most else count // most + 1
     return list(dict.fromkeys(" ".join(words[i : i + size]) for i in range(0, count, step)))
 
 
-def text_shingles(text: Column, size: int = SHINGLE) -> Column:
-    """Shingles of normal text as a column."""
+def text_shingles(text: Column, size: int = SHINGLE, most: int | None = MOST_SHINGLES) -> Column:
+    """Shingles of normal text as a column; most as above."""
 
     def cut(words: Column) -> Column:
         count = F.size(words) - size + 1
-        step = F.when(count <= MOST_SHINGLES, F.lit(1)).otherwise(F.floor(count / MOST_SHINGLES).cast("int") + 1)
+        step = F.lit(1) if most is None else F.when(count <= most, F.lit(1)).otherwise(F.floor(count / most).cast("int") + 1)
         at = F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)), step)
         many = F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", *(F.get(words, i + k) for k in range(size)))))
         few = F.when(F.size(words) > 0, F.array(F.array_join(words, " "))).otherwise(F.array().cast("array<string>"))

@@ -144,6 +144,14 @@ def test_dedup_layers_and_reference(spark):
     assert dedup.deduplicate(records(spark)).count() == 0
 
 
+def test_long_near_duplicates_meet_whatever_their_length(spark):
+    words = [f"w{i * i % 9973}" for i in range(4_000)]
+    texts = [" ".join(words), " ".join([*words[:400], "new", *words[400:]]), " ".join(reversed(words))]
+    df = spark.createDataFrame([(i, [{"from": "human", "value": "q"}, {"from": "gpt", "value": t}]) for i, t in enumerate(texts)], "i int, conversations array<struct<from: string, value: string>>")
+    done = dedup.deduplicate(normalize(df, "sharegpt", "src", "", {"conv_col": "conversations"}, "i"))
+    assert {r.ord: r.dup_reason for r in done.select("ord", "dup_reason").collect()} == {0: None, 1: "near", 2: None}
+
+
 def test_normalizer_registry_and_errors(spark):
     @register("test_only")
     def test_only(given, cfg):
