@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,20 +71,61 @@ def text_shingles(text: Column, size: int = SHINGLE, most: int | None = MOST_SHI
     return F.get(F.transform(F.array(F.filter(F.split(text, " "), lambda w: w != "")), cut), F.lit(0))
 
 
-def base_hash(shingle: Column) -> Column:
-    """31 bits of a shingle, the same in SQL."""
-    return F.conv(F.substring(F.md5(shingle), 1, 8), 16, 10).cast("bigint") % PRIME
-
-
 def multipliers(permutations: int = PERMUTATIONS) -> list[tuple[int, int]]:
     """(a, b) of the permutations h -> (a h + b) mod PRIME, by a rule."""
     return [((i * 48_271 + 11) * 16_807 % (PRIME - 1) + 1, (i * 69_621 + 7) * 30_269 % PRIME) for i in range(1, permutations + 1)]
 
 
+@lru_cache
+def _permutations(permutations: int) -> tuple[np.ndarray, np.ndarray]:
+    a, b = np.array(multipliers(permutations), np.int64).T
+    return a[:, None], b[:, None]
+
+
+def signature(shingles: list[str], permutations: int = PERMUTATIONS) -> np.ndarray | None:
+    """The minwise values of shingles; None where there are none. A shingle counts by 31 bits of its md5, as SQL has it."""
+    if not shingles:
+        return None
+    base = np.array([int(hashlib.md5(x.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) for x in shingles], np.int64) % PRIME
+    a, b = _permutations(permutations)
+    low = np.full(permutations, PRIME, np.int64)
+    for at in range(0, len(base), 8192):  # products stay below 2 ** 62
+        low = np.minimum(low, ((base[at : at + 8192] * a + b) % PRIME).min(axis=1))
+    return low
+
+
+def band_keys(values: np.ndarray | None, count: int = BANDS, rows: int = BAND_ROWS) -> list[str]:
+    """One key per band of a signature; rows that agree in one are candidates. Without a signature there are none."""
+    parts = [] if values is None else values[: count * rows].reshape(count, rows).tolist()
+    return [hashlib.md5(",".join(map(str, part)).encode()).hexdigest() for part in parts]
+
+
+@lru_cache
+def banding(threshold: float, permutations: int = PERMUTATIONS) -> tuple[int, int]:
+    """(bands, rows a band) whose chance to meet comes nearest to a step at the threshold, both kinds of error weighed alike.
+
+    The area of wrong meetings below the threshold and of missed ones above it is smallest over all divisions of the
+    permutations.
+    """
+    s = (np.arange(1_000) + 0.5) / 1_000
+    below = s < threshold
+
+    def wrong(bands: int, rows: int) -> float:
+        meet = 1 - (1 - s**rows) ** bands
+        return float(meet[below].sum() + (1 - meet[~below]).sum())
+
+    return min(((b, r) for b in range(1, permutations + 1) for r in range(1, permutations // b + 1)), key=lambda x: wrong(*x))
+
+
 def minhash(rows: DataFrame, key: str, shingles: str = "shingles", permutations: int = PERMUTATIONS) -> DataFrame:
-    """(key, m0 .. mN): minwise values of the shingles of each row; rows without shingles have none. One aggregation."""
-    exploded = rows.select(key, F.explode(shingles).alias("shingle")).select(key, base_hash(F.col("shingle")).alias("h"))
-    return exploded.groupBy(key).agg(*(F.min((F.col("h") * a + b) % PRIME).alias(f"m{i}") for i, (a, b) in enumerate(multipliers(permutations))))
+    """(key, m0 .. mN): minwise values of the shingles of each row, in one narrow pass; rows without shingles have none."""
+
+    def sign(lists: pa.Array) -> pa.Array:
+        found = [signature(x or [], permutations) for x in lists.to_pylist()]
+        return pa.array([None if x is None else x.tolist() for x in found], pa.list_(pa.int64()))
+
+    signed = rows.select(key, F.arrow_udf(sign, "array<bigint>")(shingles).alias("m")).where("m IS NOT NULL")
+    return signed.select(key, *(F.get("m", F.lit(i)).alias(f"m{i}") for i in range(permutations)))
 
 
 def bands(signatures: DataFrame, key: str, count: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:

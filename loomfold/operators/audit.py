@@ -29,34 +29,47 @@ def _if(name: str, condition: Column) -> Column:
     return _many(name, _some(condition).cast("int"))
 
 
-def _is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+_STRICT = {"allowSingleQuotes": "false"}
+
+
+def _decoded(text: Column, kind: str) -> Column:
+    """JSON text as an array of this type; null where it is no JSON. Other JSON than arrays and objects is an empty array.
+
+    The text is parsed once; only where that gives nothing it is looked at again.
+    """
+    array = F.when(text.rlike(r"[\]}]\s*$"), F.from_json(text, kind, _STRICT))
+    return F.coalesce(array, F.when(F.try_parse_json(text).isNotNull(), F.array().cast(kind)))
+
+
+def _keys(text: Column, path: str = "$") -> Column:
+    return F.coalesce(F.json_object_keys(F.get_json_object(text, path)), F.array().cast("array<string>"))
 
 
 def typed(rows: DataFrame) -> DataFrame:
-    """Rows on disk with msgs and defs, typed; null where the JSON text can't be decoded."""
+    """Rows on disk with msgs and defs, typed; null where the JSON text can't be decoded.
+
+    Parts of another type than they should have (a lone object, JSON text in place of an array) count as missing.
+    """
     tools = F.coalesce(F.when(trimmed(F.col("tools")) != "", F.col("tools")), F.lit("[]"))
-    return rows.select(
-        "id", F.coalesce("source", F.lit("?")).alias("source"), F.coalesce("messages", F.lit("")).alias("raw"), F.coalesce("tool_names", F.array().cast("array<string>")).alias("tool_names"),
-        F.when(_is_json(F.col("messages")), F.from_json("messages", _MESSAGES)).alias("msgs"), F.when(_is_json(tools), F.from_json(tools, _TOOLS)).alias("defs"),
+    decoded = rows.select(
+        "id", F.coalesce("source", F.lit("?")).alias("source"), F.length("messages").alias("size"), F.coalesce("tool_names", F.array().cast("array<string>")).alias("tool_names"),
+        _decoded(F.col("messages"), _MESSAGES).alias("msgs"), _decoded(tools, _TOOLS).alias("tools"),
     )
+    about = lambda t: F.struct(t["function"]["name"].alias("name"), _keys(t["function"]["parameters"]).alias("keys"), _keys(t["function"]["parameters"], "$.properties").alias("properties"))
+    return decoded.withColumn("defs", F.transform("tools", about)).drop("tools")
 
 
 def defects() -> Column:
     """All defects of a typed row, each as often as it occurs."""
-    none = F.array()
-    msgs, defs, names = F.coalesce("msgs", none.cast(_MESSAGES)), F.coalesce("defs", none.cast(_TOOLS)), F.col("tool_names")
+    msgs = F.coalesce("msgs", F.array().cast(_MESSAGES))
+    defs, names = F.coalesce("defs", F.array()), F.col("tool_names")
     calls = F.flatten(F.transform(msgs, lambda m: F.transform(F.coalesce(m["tool_calls"], F.array().cast("array<struct<function:struct<name:string,arguments:string>>>")), lambda c: c["function"])))
     answers = F.flatten(F.transform(msgs, lambda m: F.coalesce(m["tool_responses"], F.array().cast("array<struct<name:string,response:string>>"))))
     count = lambda array, test: F.size(F.filter(array, lambda x: _some(test(x))))
     contents = F.filter(msgs, lambda m: m["content"].isNotNull())
-
-    def keys(t: Column, path: str = "$") -> Column:
-        return F.coalesce(F.json_object_keys(F.get_json_object(t["function"]["parameters"], path)), F.array().cast("array<string>"))
-
-    named = lambda t: F.coalesce(t["function"]["name"], F.lit("")) != ""
-    not_schema = lambda t: (F.size(keys(t)) > 0) & ~(F.array_contains(keys(t), "type") & F.array_contains(keys(t), "properties"))
-    leaked = lambda t: F.size(F.array_except(F.array(*map(F.lit, ("type", "properties", "required"))), keys(t, "$.properties"))) == 0
+    named = lambda t: F.coalesce(t["name"], F.lit("")) != ""
+    not_schema = lambda t: (F.size(t["keys"]) > 0) & ~(F.array_contains(t["keys"], "type") & F.array_contains(t["keys"], "properties"))
+    leaked = lambda t: F.size(F.array_except(F.array(*map(F.lit, ("type", "properties", "required"))), t["properties"])) == 0
     marked = lambda m: F.exists(F.array(*map(F.lit, LEAKS)), lambda x: F.contains(m["content"], x))
     row = F.concat(
         _many("tool_missing_name", count(defs, lambda t: ~named(t))),
@@ -73,16 +86,17 @@ def defects() -> Column:
         _many("observation_prefix_leak", count(answers, lambda r: F.startswith(r["response"], F.lit("OBSERVATION:")))),
         _if("call_response_imbalance_gt1", (F.size(calls) > 0) & (F.size(answers) > 0) & (F.size(calls) - F.size(answers) > 1)),
     )
-    sized = _if("oversized_row_gt_1MB", F.length("raw") > OVERSIZED)
+    sized = _if("oversized_row_gt_1MB", F.col("size") > OVERSIZED)
     decoded = F.concat(_if("tools_parse_error", F.col("defs").isNull()), row)
     return F.concat(sized, F.when(F.col("msgs").isNull(), F.array(F.lit("messages_parse_error"))).otherwise(decoded))
 
 
 def by_source(rows: DataFrame) -> DataFrame:
-    """(source, defect, occurrences, rows): defects counted by occurrence and by row."""
-    found = typed(rows).select("source", F.explode(F.array_distinct(defects())).alias("defect"), defects().alias("all"))
+    """(source, defect, occurrences, rows): defects counted by occurrence and by row, in one pass that builds them once."""
+    found = typed(rows).select("source", defects().alias("all")).where(F.size("all") > 0)
+    each = found.select("source", "all", F.explode(F.array_distinct("all")).alias("defect"))
     times = F.size(F.filter("all", lambda x: x == F.col("defect")))
-    return found.groupBy("source", "defect").agg(F.sum(times).alias("occurrences"), F.count("*").alias("rows"))
+    return each.groupBy("source", "defect").agg(F.sum(times).alias("occurrences"), F.count("*").alias("rows"))
 
 
 def totals(rows: DataFrame) -> DataFrame:

@@ -45,9 +45,9 @@ def with_defaults(metadata: Column, defaults: dict[str, Column]) -> Column:
     return F.map_concat(metadata, missing)
 
 
-def with_ids(records: DataFrame, key: str, config: str) -> DataFrame:
-    """Typed records with their id."""
-    return records.withColumn("id", record_id(F.lit(key), F.lit(config), F.col("content_hash")))
+def of_quality(rows: DataFrame, tier: str = "high") -> DataFrame:
+    """Rows on disk whose quality has this tier; rows without a readable quality have none."""
+    return rows.where(F.get_json_object("quality", "$.tier") == tier)
 
 
 def with_record_ids(records: DataFrame) -> DataFrame:

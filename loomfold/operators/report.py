@@ -18,8 +18,8 @@ TIER_TITLES = {
 
 
 def top_reasons(rows: DataFrame, reason: str = "reason", order: str = "ord", most: int = 20) -> DataFrame:
-    """(reason, n): the most frequent reasons, ties by the first row that has them."""
-    counted = rows.where(F.col(reason).isNotNull()).groupBy(reason).agg(F.count("*").alias("n"), F.min(order).alias("first"))
+    """(reason, n): the most frequent reasons, ties by the first row that has them. Rows a normalizer dropped are no reason."""
+    counted = rows.where(F.col(reason).isNotNull() & (F.col(reason) != "dropped")).groupBy(reason).agg(F.count("*").alias("n"), F.min(order).alias("first"))
     return counted.orderBy(F.desc("n"), "first").limit(most).select(F.col(reason).alias("reason"), "n")
 
 

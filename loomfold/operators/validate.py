@@ -49,5 +49,9 @@ def reason(messages: str = "messages", tool_names: str = "tool_names") -> Column
 
 
 def validated(records: DataFrame) -> DataFrame:
-    """Records with ``reason``: normalizer errors first, then the rules; null where well-formed."""
-    return records.withColumn("reason", F.when(F.col("error").isNotNull(), F.lit("normalizer_exception")).otherwise(reason()))
+    """Records with ``reason``: normalizer errors first, then the rules; null where well-formed.
+
+    Rows that their normalizer dropped, where they were kept for counting, have the reason "dropped".
+    """
+    failed = F.when(F.col("error") == "dropped", F.lit("dropped")).when(F.col("error").isNotNull(), F.lit("normalizer_exception"))
+    return records.withColumn("reason", F.coalesce(failed, reason()))

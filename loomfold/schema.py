@@ -21,7 +21,7 @@ _ARROW = pa.schema([
     ("messages", pa.list_(_MESSAGE)), ("tools", pa.list_(_TOOL)), ("tool_names", pa.list_(pa.string())),
     ("instance_id", pa.string()), ("trajectory_id", pa.string()), ("repo", pa.string()), ("no_call_expected", pa.bool_()),
     ("resolved", pa.bool_()), ("reward", pa.float64()), ("curated", pa.bool_()),
-    ("content_hash", pa.string()), ("shingles", pa.list_(pa.string())),
+    ("content_hash", pa.string()), ("bands", pa.list_(pa.string())),
     ("messages_json", pa.string()), ("tools_json", pa.string()), ("metadata_json", pa.string()), ("error", pa.string()),
 ])
 #: The typed record; spark: the same as Spark type.
@@ -55,7 +55,7 @@ def typed_messages(messages: list[dict]) -> list[dict]:
     ]
 
 
-def canonical_row(ord_, source, subset, messages=None, tools=None, names=None, metadata=None, signals=None, content_hash=None, shingles=None, error=None) -> dict:
+def canonical_row(ord_, source, subset, messages=None, tools=None, names=None, metadata=None, signals=None, content_hash=None, bands=None, error=None) -> dict:
     """A typed record of canonical parts; only ``error`` where there are none."""
     own = {"ord": ord_, "source": source, "source_subset": subset, "error": error}
     if error is not None:
@@ -69,6 +69,6 @@ def canonical_row(ord_, source, subset, messages=None, tools=None, names=None, m
         "no_call_expected": bool(metadata.get("no_call_expected")),
         "resolved": signals.get("resolved") if isinstance(signals.get("resolved"), bool) else None,
         "reward": _number(signals.get("reward")), "curated": bool(signals.get("curated")),
-        "content_hash": content_hash, "shingles": shingles,
+        "content_hash": content_hash, "bands": bands,
         "messages_json": encode(messages), "tools_json": encode(tools), "metadata_json": encode(metadata),
     }

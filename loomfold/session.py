@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -38,10 +40,18 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
+    """The folder that all executors share, of spark.checkpoint.dir.
+
+    Where it is unset, a local session gets a folder of its own, which goes with the process; on a cluster a folder of
+    one machine would lose what the others write, so the setting is asked for.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="loomfold-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="loomfold-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        base = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base
 

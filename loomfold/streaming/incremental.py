@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomfold.operators.dedup import resolve
+from loomfold.sources import files
 
 
 class KeptTokens:
@@ -16,15 +17,17 @@ class KeptTokens:
 
     def table(self, before: int) -> DataFrame | None:
         """Tokens of the batches before a number; None if there are none."""
-        try:
-            found = self.spark.read.option("basePath", self.path).schema("ord bigint, layer string, token string, batch int").parquet(self.path)
-        except Exception:  # noqa: BLE001 - nothing is written yet
+        if not files.exists(self.spark, self.path):
             return None
+        found = self.spark.read.option("basePath", self.path).schema("ord bigint, layer string, token string, batch int").parquet(self.path)
         return found.where(F.col("batch") < before)
 
     def process(self, tokens: DataFrame, number: int) -> DataFrame:
         """(ord, reason) of a batch of tokens (ord, layer, token); the tokens of its kept rows are added."""
-        decided = resolve(tokens, self.table(number))
+        known = self.table(number)
+        # only tokens that the batch has can block it: the others stay out of the rounds
+        own = tokens.select("token").distinct()
+        decided = resolve(tokens, None if known is None else known.join(own, "token", "left_semi"))
         kept = tokens.join(decided.where("reason IS NULL").select("ord"), "ord", "left_semi")
         kept.write.mode("overwrite").parquet(f"{self.path}/batch={number}")
         return decided

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from loomfold.functions.hashing import band_keys, signature
 from loomfold.operators import audit, dedup, enrich, quality, report, validate
 from loomfold.operators.normalize import get_normalizer, normalize, register
 from loomfold.schema import CANONICAL, canonical_row
@@ -14,7 +15,7 @@ def records(spark, *rows):
 
 
 def row(ord_, messages, tools=(), names=None, **settings):
-    base = {"content_hash": settings.pop("content_hash", str(ord_)), "shingles": settings.pop("shingles", [])}
+    base = {"content_hash": settings.pop("content_hash", str(ord_)), "bands": band_keys(signature(settings.pop("shingles", [])))}
     made = canonical_row(ord_, "s", "d/t", messages, list(tools), list(names if names is not None else [t["function"]["name"] for t in tools]), **base)
     return tuple((made | settings).get(f.name) for f in CANONICAL.spark.fields)
 

@@ -1,12 +1,17 @@
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from loomfold import cli
+from loomfold.functions.hashing import banding
+from loomfold.operators.enrich import of_quality
 from loomfold.plans import pipeline
+from loomfold.session import shared_dir
 from loomfold.sources import readers, sinks
-from loomfold.sources.registry import Registry, load_registry
+from loomfold.sources.registry import Registry, Source, Subset, load_registry
 from loomfold.streaming.incremental import KeptTokens, stream_dedup, windowed_counts
 
 YAML = """
@@ -67,14 +72,20 @@ def test_whole_run(world, spark):
     again = pipeline.run(spark, registry, str(world / "raw"), str(world / "out2"), against=against, near=False, order="i")
     assert again["total_written"] == 2 and again["dedup"]["exact"] == 5
     # report, card, gate and publication
-    report = sinks.read_report(f"{out}/_report.json")
+    report = sinks.read_report(spark, f"{out}/_report.json")
     assert report["total_written"] == 5 and sinks.may_publish(report, 5) and not sinks.may_publish(report, 6) and not sinks.may_publish(None)
     from loomfold.operators.report import card_markdown
 
     card = card_markdown("me/set", report)
     assert "| calls | 4 | 3 |" in card and "**5**" in card
-    assert sinks.publish(out, world / "hub", card, dry_run=True).startswith("dry run") and not (world / "hub").exists()
-    sinks.publish(out, world / "hub", card, dry_run=False)
+    assert sinks.publish(spark, out, str(world / "hub"), card, dry_run=True).startswith("dry run") and not (world / "hub").exists()
+    sinks.publish(spark, out, str(world / "hub"), card, dry_run=False)
+    assert json.loads((world / "hub/_visibility.json").read_text()) == {"private": True}
+    # a second publication replaces the shards; a run that still goes on is waited for, one without rows isn't published
+    waits = iter([True, False])
+    assert sinks.publish_when_done(spark, lambda: next(waits), out, str(world / "hub"), lambda told: "card", 5, 0.01, private=False)
+    assert readers.read_shards(spark, str(world / "hub/data")).count() == 5 and json.loads((world / "hub/_visibility.json").read_text()) == {"private": False}
+    assert sinks.publish_when_done(spark, lambda: False, str(world / "nowhere"), str(world / "hub"), str) is None
     assert (world / "hub/README.md").exists() and list((world / "hub/data").glob("*.parquet"))
     assert pipeline.run(spark, registry, str(world / "raw"), str(world / "out3"), keys=["listed"])["total_written"] == 0
     with pytest.raises(ValueError, match="no subset"):
@@ -82,6 +93,78 @@ def test_whole_run(world, spark):
     assert [r.reason for r in pipeline.check_source(spark, registry.sources[0], str(world / "raw"), 2).collect()] == [None, None]
 
 
+def sequential_run(rows):
+    """Kept ids of one pass in order: the first row of each answer."""
+    seen, kept = set(), []
+    for i, answer in rows:
+        if answer not in seen:
+            seen.add(answer)
+            kept.append(i)
+    return kept
+
+
+@pytest.mark.parametrize("kind", ["parquet", "json"])
+def test_order_is_unique_and_that_of_the_files_over_many_partitions(spark, tmp_path, kind):
+    rows = [(i, f"answer {i * 7919 % 90}") for i in range(900)]
+    root = tmp_path / "raw dir/us/many/a"
+    for part in range(300):  # three rows a file
+        text = [{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": a}], "n": i} for i, a in rows[part * 3 : part * 3 + 3]]
+        (root / f"train.{kind}").mkdir(parents=True, exist_ok=True)
+        target = root / f"train.{kind}/part-{part:05d}.{kind}"
+        if kind == "json":
+            target.write_text("\n".join(map(json.dumps, text)))
+        else:
+            pq.write_table(pa.Table.from_pylist(text), target)
+    registry = Registry({}, (Source.of({"key": "many", "hf_id": "us/many", "tier": "web", "provenance": ["n"], "subsets": [{"config": "a", "split": "train"}]}),))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        opened = readers.open_subset(spark, str(tmp_path / "raw dir"), registry.sources[0], registry.sources[0].subsets[0])
+        assert opened.rdd.getNumPartitions() >= 300
+        numbered, behind = readers.in_file_order(opened)
+        assert behind == 300 and [r.n for r in numbered.select("_row", "n").orderBy("_row").collect()] == list(range(900))
+        assert numbered.select("_row").distinct().count() == 900
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    pipeline.run(spark, registry, str(tmp_path / "raw dir"), str(tmp_path / "out"), near=False, limit=850)
+    got = sorted(json.loads(r.metadata)["n"] for r in readers.read_shards(spark, str(tmp_path / "out/data")).collect())
+    assert got == sequential_run([x for x in rows if x[0] < 850]) and len(got) == 90
+
+
+def test_orders_of_a_column_do_not_reach_into_other_subsets(spark):
+    source = Source.of({"key": "s", "hf_id": "h", "tier": "web", "normalizer": "xlam"})
+    df = spark.createDataFrame([(5, "q"), (1, "r")], "i bigint, query string")
+    subset = Subset("c", "train")
+    one, two = (pipeline.normalized(df, source, subset, position, None, "i")[0].select("ord").collect() for position in (1, 2))
+    assert max(r.ord for r in one) < min(r.ord for r in two)
+    with pytest.raises(Exception, match="order outside of its range"):
+        pipeline.normalized(df.withColumn("i", F.lit(1 << 43)), source, subset, 0, None, "i")[0].collect()
+
+
+def test_near_threshold_divides_the_signatures():
+    assert banding(0.85) == (4, 15) and banding(0.5, 128) == (25, 5) and banding(0.7)[1] < banding(0.95)[1]
+
+
+def test_high_tier(spark):
+    df = spark.createDataFrame([(1, '{"tier":"high"}'), (2, '{"tier":"low"}'), (3, None), (4, "{")], "i int, quality string")
+    assert [r.i for r in of_quality(df).collect()] == [1]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_shards_are_bounded(spark, tmp_path):
     sinks.write_shards(spark.range(25).coalesce(1).selectExpr("cast(id as string) id"), str(tmp_path / "data"), 10)
     assert len(list((tmp_path / "data").glob("*.parquet"))) == 3
