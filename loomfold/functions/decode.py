@@ -7,10 +7,13 @@ holds; a lone object where an array belongs is an array of one; null elements ke
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 
+_NESTED = re.compile(r"\s*[\[{]")
+
 
 def decode(text: str | None):
     """The value of a JSON column, or None where it is null, blank or cannot be decoded."""
@@ -27,7 +30,7 @@ def decode(text: str | None):
 
 def inner(value):
     """A nested value: JSON text of an object or array counts like the object or array, other text stays text."""
-    if isinstance(value, str) and value[:64].lstrip()[:1] in ("{", "[") and value.lstrip()[:1]:
+    if isinstance(value, str) and _NESTED.match(value):
         try:
             return json.loads(value)
         except (ValueError, RecursionError):
@@ -73,23 +76,3 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples in the order of their columns."""
     for batch in batches:
         yield from zip(*(c.to_pylist() for c in batch.columns)) if batch.num_columns else ()
-
-
-class Sink:
-    """Collects columns and hands them out as batches of bounded size."""
-
-    def __init__(self, schema: pa.Schema, at_most: int = 20_000):
-        self.schema, self.at_most = schema, at_most
-        self.columns: list[list] = [[] for _ in schema]
-
-    def add(self, *row) -> None:
-        for column, value in zip(self.columns, row):
-            column.append(value)
-
-    def full(self) -> bool:
-        return len(self.columns[0]) >= self.at_most
-
-    def take(self) -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(self.columns, self.schema)], schema=self.schema)
-        self.columns = [[] for _ in self.schema]
-        return batch
