@@ -122,21 +122,48 @@ def texts(seed):
     return [rng.choice(["\n\n", " ", "\n", "\r\n\r\n", "  \n   "]).join(sentence() for _ in range(rng.randrange(1, 60))) for _ in range(12)]
 
 
-@pytest.mark.parametrize("size", [splitting.RANGE, 256])
-def test_pieces_keep_limit_order_and_text(spark, size):
+def corpus():
     rows = [(i, t, "s", "abe"[i % 3]) for i, t in enumerate(texts(3))]
     rows += [(50, "x" * 3000, "s", "a"), (51, "日本" * 400, "s", "b"), (52, " " * 500, "s", "a"), (53, None, "s", "a"), (54, "", "s", "a"), (55, "many words here " * 300, "s", "d"), (56, "many words here " * 300, "s", "none"), (57, "😀" * 200, "s", "a")]
+    code = "".join(f"\n{' ' * (i % 9)}if x{i}:  \t return ({i})\u3000# {'=' * (i % 40)}" for i in range(120))
+    rows += [(58, code, "s", "a"), (58, code, "s", "a"), (58, code, "s", "b"), (59, "one line of words without any end " * 40 + "y" * 900 + " and more words " * 40, "s", "a")]
+    return rows
+
+
+def test_pieces_keep_limit_order_and_text(spark):
+    rows = corpus()
     limits = spark.createDataFrame(LIMITS, "doc_kind string, max_tokens int, overlap_tokens int")
-    found = splitting.split(docs(spark, *rows), limits, size=size).collect()
+    pieces = {size: sorted(map(tuple, splitting.split(docs(spark, *rows), limits, size=size).collect())) for size in (splitting.RANGE, 256, 70)}
+    # how texts are divided into ranges makes no difference, to blank and repeated ones neither
+    assert pieces[256] == pieces[splitting.RANGE] == pieces[70]
+    found = splitting.split(docs(spark, *rows), limits, size=256).collect()
     by_doc = {}
     for p in found:
-        by_doc.setdefault(p.doc_id, []).append(p)
+        by_doc.setdefault((p.doc_id, p.doc_kind), []).append(p)
     limit_of = {k: (m, o or 0) for k, m, o in LIMITS if m}
-    over = {d for d, t, _, k in rows if t and not t.isspace() and k in limit_of and count(t) > limit_of[k][0]}
-    assert set(by_doc) - {52} == over - {52} and len(over) > 8
-    for d, pieces in by_doc.items():
-        text, kind = next((t, k) for i, t, _, k in rows if i == d)
-        check_pieces(text, sorted(pieces, key=lambda p: (p.piece_no, p.start_char)), *limit_of[kind])
+    over = {(d, k) for d, t, _, k in rows if t and not t.isspace() and k in limit_of and count(t) > limit_of[k][0]}
+    assert set(by_doc) == over and len(over) > 10
+    for (d, kind), own in by_doc.items():
+        text = next(t for i, t, _, k in rows if i == d and k == kind)
+        copies = sum((i, k) == (d, kind) for i, _, _, k in rows)
+        own = sorted(own, key=lambda p: p.piece_no)
+        assert [p.piece_no for p in own] == sorted(list(range(len(own) // copies)) * copies)
+        check_pieces(text, own[::copies], *limit_of[kind])
+
+
+def test_files_are_split_by_byte_ranges_like_texts(spark, tmp_path):
+    told = {f"f {i}.txt": t for i, (_, t, _, _) in enumerate(corpus()) if t}
+    for name, text in told.items():
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+    limits = spark.createDataFrame([("a", 40, 8)], "doc_kind string, max_tokens int, overlap_tokens int")
+    whole = splitting.split(docs(spark, *((i, t, "s", "a") for i, t in enumerate(told.values()))), limits).collect()
+    want = sorted((list(told)[p.doc_id], p.piece_no, p.n_tokens, p.text) for p in whole)
+    for size, halo in ((200, 16), (1 << 20, 64)):
+        got = splitting.split_files(spark, f"{tmp_path}/*.txt", 40, 8, size=size, halo=halo).collect()
+        names = {p.path: p.path.rsplit("/", 1)[-1].replace("%20", " ") for p in got}
+        assert sorted((names[p.path], p.piece_no, p.n_tokens, p.text) for p in got) == want
+        for p in got:
+            assert told[names[p.path]].encode()[p.start_byte : p.end_byte].decode() == p.text
 
 
 def test_ranges_and_whole_texts_agree_on_tokens():
