@@ -2,13 +2,20 @@
 
 Each row of a group claims a value for each field. Sources vote with an accuracy that is estimated together with the
 probability of the values; sources that share false values more often than chance allows depend on each other, and a
-copied vote is discounted. The posterior of a value is a prior of its rows plus the votes for it. The prior ranks a row
-that is both of the largest trust and the most recent above any sum of votes, so that votes decide between rows where
-trust and recency disagree; of rows equal in both the smallest key stands for them.
+copied vote is discounted. The posterior of a value is the sum of the votes for it and of a prior of bounded weight
+for its best row: ``PRIOR`` for being of the largest trust, and again for being the most recent. A vote weighs at most
+4.6, so a value without either needs several independent accurate sources against a row with both, and copies of one
+source never add up to them. The value with the largest posterior survives, from its best row.
+
+Where a definition demands that a row of top trust and recency wins against any number of votes (``exact``), that is
+checked behind: a field whose choice is surpassed by another row in trust or in recency is taken from the row that no
+other surpasses, if there is one. ``decided`` tells for each field what decided it: "votes" alone, "prior" against the
+votes, or the "check" against both.
 
 Scale: claims are first reduced to one per (group, field, source), so a group of a third of all rows becomes as many
 claims as there are sources; all steps are aggregations that combine on the map side, then joins by (group, field).
-The accuracies and the dependence of pairs of sources are bounded by the registry of sources, whose size is checked.
+The accuracies and the dependence of pairs of sources are bounded by the registry of sources, whose size is checked
+(``MAX_SOURCES``); only pairs that depend on each other are shipped, once an executor.
 
 Defined results. Usable is a value that is not null, blank or a word for no value; a field without one has no row.
 Rows with a null or blank id belong to no group; unknown or null sources have trust 0 unless metadata names a known
@@ -35,7 +42,9 @@ FIELDS = ("license", "repo", "instance_id", "score", "source")
 #: Words that stand for no value.
 NO_VALUE = {"", "null", "none", "nil", "nan", "na", "n/a", "unknown", "tbd", "-", "--", "?", "missing", "undefined", "not available"}
 #: Rounds of estimation, the assumed number of false values of a field, the share of copied values of a copier.
-ROUNDS, FALSE_VALUES, COPY_RATE, MAX_SOURCES = 3, 10, 0.8, 5_000
+ROUNDS, FALSE_VALUES, COPY_RATE, MAX_SOURCES = 3, 10, 0.8, 1_000
+#: Prior, in the unit of votes, of a row of the largest trust, and of the most recent one; dependence below which a pair counts as independent.
+PRIOR, INDEPENDENT = 8.0, 0.02
 
 
 def epoch(value) -> float | None:
@@ -83,7 +92,7 @@ def claims(records: DataFrame, sources: DataFrame, key: str = "rec_no") -> DataF
 
     rows = records.select(id_tail().alias("group_id"), F.col(key).cast("bigint").alias("key"), "source", "metadata", "quality")
     groups = rows.where("group_id IS NOT NULL").groupBy("group_id").agg(F.count("*").alias("n")).where("n > 1").select("group_id")
-    shared = spread(rows).join(groups, "group_id", "left_semi").select("group_id", "key", "source", "metadata", "quality")
+    shared = spread(rows).join(groups.hint("merge"), "group_id", "left_semi").select("group_id", "key", "source", "metadata", "quality")
     values = shared.mapInArrow(read, "group_id string, key bigint, by string, hub string, fetched double, values array<string>")
     clean = lambda c: F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
     known = sources.select(clean("source_key").alias("known"), clean("hf_id").alias("hub_id"), "trust").dropDuplicates(["known"])
@@ -98,7 +107,7 @@ def claims(records: DataFrame, sources: DataFrame, key: str = "rec_no") -> DataF
 
 
 def _vote(accuracy: float) -> float:
-    accuracy = min(max(accuracy, 0.05), 0.99)
+    accuracy = min(max(accuracy, 0.05), 0.91)
     return math.log(FALSE_VALUES * accuracy / (1 - accuracy))
 
 
@@ -144,9 +153,10 @@ def estimate(items: DataFrame, prior: dict[str, float], rounds: int = ROUNDS) ->
     """Accuracies of the sources and dependence of pairs of them; both bounded by the number of sources."""
     accuracy, copies = dict(prior), {}
     for _ in range(rounds):
-        now, among = dict(accuracy), dict(copies)
+        known = items.sparkSession.sparkContext.broadcast((accuracy, copies))  # bounded by the registry
 
-        def tell(batches: Iterator[pa.RecordBatch], now=now, among=among) -> Iterator[pa.RecordBatch]:
+        def tell(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
+            now, among = known.value
             single: dict[tuple[str, str], list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
             for names, values in rows_of(batches):
                 likely = probabilities(value_votes(names, values, now, among))
@@ -168,15 +178,17 @@ def estimate(items: DataFrame, prior: dict[str, float], rounds: int = ROUNDS) ->
 
         told = items.select("names", "values").mapInArrow(tell, "a string, b string, x double, y double, z double")
         found = told.groupBy("a", "b").agg(F.sum("x"), F.sum("y"), F.sum("z")).collect()  # at most sources x sources rows
+        accuracy = dict(accuracy)
         for a, b, x, y, _z in found:
             if a == b:
                 accuracy[a] = (x + 4 * prior.get(a, 0.5)) / (y + 4)
-        copies = {(a, b): dependence(x, y, z, (accuracy.get(a, 0.5) + accuracy.get(b, 0.5)) / 2) for a, b, x, y, z in found if a != b}
+        depend = ((a, b, dependence(x, y, z, (accuracy.get(a, 0.5) + accuracy.get(b, 0.5)) / 2)) for a, b, x, y, z in found if a != b)
+        copies = {(a, b): d for a, b, d in depend if d >= INDEPENDENT}
     return accuracy, copies
 
 
-def fuse(records: DataFrame, sources: DataFrame, key: str = "rec_no") -> DataFrame:
-    """One row per group and field: (group_no, field_name, rec_no, value, posterior).
+def fuse(records: DataFrame, sources: DataFrame, key: str = "rec_no", exact: bool = False) -> DataFrame:
+    """One row per group and field: (group_no, field_name, rec_no, value, posterior, decided).
 
     group_no is the smallest key of the group's rows, rec_no the row the value is taken from.
     """
@@ -186,35 +198,47 @@ def fuse(records: DataFrame, sources: DataFrame, key: str = "rec_no") -> DataFra
     prior = {name: 0.5 + 0.08 * min(max(trust or 0, 0), 5) for name, trust in registry if name}
     all_claims = written(claims(records, sources, key), "claims")
     items = written(_items(all_claims), "items")
-    accuracy, copies = estimate(items, prior)
+    # every source says its own name: that tells nothing of its accuracy
+    known = records.sparkSession.sparkContext.broadcast(estimate(items.where("field_name <> 'source'"), prior))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (group, field, value, vote, sum(map(abs, votes.values())), likely[value])
+                (group, field, value, vote, likely[value])
                 for group, field, names, values in rows_of([batch])
-                for votes in [value_votes(names, values, accuracy, copies)]
+                for votes in [value_votes(names, values, *known.value)]
                 for likely in [probabilities(votes)]
                 for value, vote in votes.items()
             ]
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = [pa.string()] * 3 + [pa.float64()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["group_id", "field_name", "plain", "vote", "votes", "posterior"])
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.string()] * 3 + [pa.float64()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["group_id", "field_name", "plain", "vote", "posterior"])
 
-    votes = items.mapInArrow(weigh, "group_id string, field_name string, plain string, vote double, votes double, posterior double")
+    votes = items.mapInArrow(weigh, "group_id string, field_name string, plain string, vote double, posterior double")
     item = ["group_id", "field_name"]
-    best = all_claims.groupBy(item).agg(F.max(F.struct("trust", "fetched")).alias("trusted"), F.max(F.struct("fetched", "trust")).alias("newest"))
+    best = all_claims.groupBy(item).agg(F.max("trust").alias("most"), F.max("fetched").alias("newest"))
     blocks = all_claims.groupBy(*item, "trust", "fetched").agg(F.min(F.struct("key", "value")).alias("c"))
-    # the newest of the most trusted rows and the most trusted of the newest: one and the same where no other surpasses it
-    is_ = lambda c: ((F.col("trust") == F.col(f"{c}.trust")) & (F.col("fetched") == F.col(f"{c}.fetched"))).cast("int")
-    blocks = blocks.join(best, item).withColumn("rank", is_("trusted") + is_("newest"))
-    weighed = blocks.withColumn("plain", F.lower(F.trim("c.value"))).join(votes, [*item, "plain"], "left")
-    # the prior of a row outweighs all votes of its item: rank by rank
-    score = F.struct("rank", F.coalesce("vote", F.lit(-1e9)), -F.col("c.key"))
-    chosen = weighed.groupBy(item).agg(F.max_by(F.struct("c.key", "c.value", "posterior"), score).alias("b"))
+    blocks = blocks.join(best.hint("merge"), item).withColumn("rank", (F.col("trust") == F.col("most")).cast("int") + (F.col("fetched") == F.col("newest")).cast("int"))
+    weighed = blocks.withColumn("plain", F.lower(F.trim("c.value"))).join(votes.hint("merge"), [*item, "plain"], "left")
+    vote = F.coalesce("vote", F.lit(0.0))
+    row = F.struct("c.key", "c.value", "plain", "posterior")
+    order = lambda score: F.struct(score, F.col("trust"), F.col("fetched"), -F.col("c.key"))
+    chosen = weighed.groupBy(item).agg(
+        F.max_by(row, order(vote + F.col("rank") * PRIOR)).alias("b"),
+        F.max_by("plain", order(vote)).alias("voted"),
+        F.max_by(row, F.when(F.col("rank") == 2, F.struct("rank"))).alias("top"),
+    )
+    wrong = F.coalesce(F.col("top.key") != F.col("b.key"), F.lit(False)) if exact else F.lit(False)
+    decided = F.when(wrong, "check").when(F.col("b.plain") == F.col("voted"), "votes").otherwise("prior")
+    final = chosen.select(*item, F.when(wrong, F.col("top")).otherwise(F.col("b")).alias("b"), decided.alias("decided"))
     rows = records.select(id_tail().alias("group_id"), F.col(key).cast("bigint").alias("key"))
     numbers = rows.where("group_id IS NOT NULL").groupBy("group_id").agg(F.min("key").alias("group_no"), F.count("*").alias("n")).where("n > 1")
-    return chosen.join(numbers, "group_id").select("group_no", "field_name", F.col("b.key").alias("rec_no"), "b.value", "b.posterior")
+    return final.join(numbers.hint("merge"), "group_id").select("group_no", "field_name", F.col("b.key").alias("rec_no"), "b.value", "b.posterior", "decided")
+
+
+def decisions(fused: DataFrame) -> DataFrame:
+    """(field_name, decided, n): what decided how many fields."""
+    return fused.groupBy("field_name", "decided").agg(F.count("*").alias("n"))
 
 
 def survivors(fused: DataFrame) -> DataFrame:

@@ -48,13 +48,18 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that each field of the surviving record of a group is taken from."""
-    fused = fusion.fuse(_table(spark, sf_dir, "records"), _table(spark, sf_dir, "sources"))
+    fused = fusion.fuse(_table(spark, sf_dir, "records"), _table(spark, sf_dir, "sources"), exact=True)
     return fused.select("group_no", "field_name", "rec_no")
 
 
+def p6_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many fields the votes decide, the prior against them, or the check against both."""
+    return fusion.decisions(fusion.fuse(_table(spark, sf_dir, "records"), _table(spark, sf_dir, "sources"), exact=True))
+
+
 def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One surviving record per group, built field by field."""
-    return fusion.survivors(fusion.fuse(_table(spark, sf_dir, "records"), _table(spark, sf_dir, "sources")))
+    return fusion.survivors(fusion.fuse(_table(spark, sf_dir, "records"), _table(spark, sf_dir, "sources"), exact=True))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +95,7 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "split_limits"))
 
 
-QUERIES = {"p8_draws": p8_draws, "p8_shares": p8_shares, "p9_pieces": p9_pieces, "p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
+QUERIES = {"p8_draws": p8_draws, "p8_shares": p8_shares, "p9_pieces": p9_pieces, "p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p6_decisions": p6_decisions, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
 
 
@@ -108,6 +113,8 @@ SQL["p6_found"] = f"""
             unnest([json_extract_string(m, '$.license'), json_extract_string(m, '$.repo'), json_extract_string(m, '$.instance_id'), json_extract_string(q, '$.score'), source]) AS value FROM v),
     u AS (SELECT *, max(trust) OVER w AS most, max(fetched) OVER w AS last FROM f WHERE lower(trim(value)) NOT IN ({_NO_VALUE}) WINDOW w AS (PARTITION BY group_no, field_name))
     SELECT group_no, field_name, min(rec_no) AS rec_no FROM u WHERE trust = most AND fetched = last GROUP BY ALL"""
+SQL["p6_survivors"] = SQL["p6_found"].rsplit("SELECT", 1)[0] + """, b AS (SELECT group_no, field_name, min_by(value, rec_no) AS value FROM u WHERE trust = most AND fetched = last GROUP BY ALL)
+    SELECT group_no, """ + ", ".join(f"max(value) FILTER (WHERE field_name = '{f}') AS {f}" for f in fusion.FIELDS) + " FROM b GROUP BY group_no"
 
 _RUNS = """regexp_extract_all(lower(coalesce({0}, '')), '[\\p{{L}}\\p{{N}}]+')"""
 SQL["p7_found"] = f"""

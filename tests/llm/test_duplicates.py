@@ -171,10 +171,14 @@ def test_bloom_filter_lets_all_members_pass(spark):
 SOURCES = [("good", "h/good", 5), ("mid", "h/mid", 3), ("poor", "h/poor", 1), ("copy", "h/copy", 1)]
 
 
-def fused(spark, rows):
+def fused(spark, rows, **settings):
+    return {(g, f): (r.rec_no, r.value) for (g, f), r in fused_rows(spark, rows, SOURCES, **settings).items()}
+
+
+def fused_rows(spark, rows, sources, **settings):
     records = spark.createDataFrame([(*r, "x") for r in rows], "rec_no bigint, id string, source string, metadata string, quality string, value string")
-    sources = spark.createDataFrame(SOURCES, "source_key string, hf_id string, trust int")
-    return {(r.group_no, r.field_name): (r.rec_no, r.value) for r in fusion.fuse(records, sources).collect()}
+    registry = spark.createDataFrame(sources, "source_key string, hf_id string, trust int")
+    return {(r.group_no, r.field_name): r for r in fusion.fuse(records, registry, **settings).collect()}
 
 
 def meta(at, **fields):
@@ -201,6 +205,25 @@ def test_votes_decide_between_trust_and_recency(spark):
     assert got[(1, "license")] == (1, "x")
 
 
+@pytest.mark.parametrize("copied", [False, True])
+def test_copies_do_not_outvote_a_trusted_recent_row_but_independent_sources_do(spark, copied):
+    rng = random.Random(5)
+    names = [f"m{k}" for k in range(7)]
+    honest = ["top", *(f"h{k}" for k in range(9))]
+    sources = [*((n, f"h/{n}", 5) for n in honest), *((n, f"h/{n}", 4) for n in names)]
+    rows = []
+    for g in range(60):  # the sources err each by itself, or all like the first one
+        wrong = g % 3 == 0
+        said = dict.fromkeys(honest, "true") | {n: f"false {g if copied else rng.random()}" if (wrong if copied else rng.random() < 0.1) else "true" for n in names}
+        rows += [(len(rows) + k + 1, f"g_{g:016x}", n, meta(10, license=v), None) for k, (n, v) in enumerate(said.items())]
+    first = len(rows) + 1
+    rows += [(first, "p_00000000000000ff", "top", meta(99, license="x"), None), *((first + 1 + k, "p_00000000000000ff", n, meta(50, license="y"), None) for k, n in enumerate(names))]
+    got = fused_rows(spark, rows, sources)[(first, "license")]
+    assert got.value == ("x" if copied else "y")
+    exact = fused_rows(spark, rows, sources, exact=True)[(first, "license")]
+    assert exact.value == "x" and (copied or exact.decided == "check")
+
+
 def test_copied_votes_are_discounted():
     accuracy = {"a": 0.85, "b": 0.7, "c": 0.7}
     alone = fusion.value_votes(["a", "b", "c"], ["x", "y", "y"], accuracy, {})
