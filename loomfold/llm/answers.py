@@ -24,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from loomfold.functions.decode import content_text, inner, items, messages_of, rows_of
 from loomfold.llm.completeness import cut_reason, inner_pieces, last_piece
-from loomfold.llm.truncation import KNOWN
+from loomfold.llm.truncation import known_pieces
 from loomfold.session import ship, spread, written
 
 #: Frequent function words of the languages (fixed values).
@@ -72,8 +73,14 @@ TRIGGERS = (
     "ません", "かね", "お断り",
 )
 
-COPY_SHARE = 0.35  # bytes left of an answer compressed with its prompt, of those without, up to which it may be a copy
-REST = 130  # characters besides the refusing sentences up to which an answer does nothing but refuse
+#: Bytes left of an answer compressed with its prompt, of those without, up to which it may be a copy; words of an edited
+#: copy, of those of the question, that may be other ones.
+COPY_SHARE, EDITED = 0.35, 0.1
+#: Scripts that tell a language, or a family of languages, by themselves (fixed values).
+SCRIPTS = {
+    "cyrillic": (0x400, 0x52F), "greek": (0x370, 0x3FF), "hebrew": (0x590, 0x5FF), "arabic": (0x600, 0x6FF), "devanagari": (0x900, 0x97F),
+    "bengali": (0x980, 0x9FF), "thai": (0xE00, 0xE7F), "georgian": (0x10A0, 0x10FF), "hangul": (0xAC00, 0xD7AF), "han": (0x4E00, 0x9FFF),
+}
 
 _HIDDEN = re.compile(r"<(think|thinking|reasoning)>.*?(?:</\1>|\Z)", re.I | re.S)
 _UNSEEN = re.compile(r"[\s­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁤⁪-⁯ㅤ︀-️﻿ﾠ]+")
@@ -94,6 +101,15 @@ def visible(text: str | None) -> str:
     return _HIDDEN.sub("", text or "")
 
 
+def _script(words: list[str]) -> str | None:
+    """The script that most letters of a text are of, where that alone tells the language."""
+    text = "".join(words)
+    if text.isascii() or len(text) < 8:
+        return None
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    return next((name for name, (low, high) in SCRIPTS.items() if 2 * np.count_nonzero((codes >= low) & (codes <= high)) > len(codes)), None)
+
+
 def language(text: str) -> str | None:
     """The language of a text, or None where the dictionaries aren't sure."""
     plain = _CODE.sub(" ", text)
@@ -101,6 +117,8 @@ def language(text: str) -> str | None:
     kana = len(_KANA.findall(plain))
     if kana >= 4 and kana >= 2 * sum(w < "ʰ" for w in words):
         return "ja"
+    if (script := _script(words)) is not None:
+        return script
     scores = Counter(map(_OF.get, words))
     scores.pop(None, None)
     (lang, best), (_, second) = [*scores.most_common(2), (None, 0), (None, 0)][:2]
@@ -131,15 +149,34 @@ def is_copy(question: str, answer: str) -> bool:
     if times and not over and wa == wq * times:
         return True
     # nearly all of the question in a row
-    return len(wa) < len(wq) and len(wa) >= 0.8 * len(wq) and any(wq[i : i + len(wa)] == wa for i in range(len(wq) - len(wa) + 1))
+    if len(wa) < len(wq) and len(wa) >= 0.8 * len(wq) and any(wq[i : i + len(wa)] == wa for i in range(len(wq) - len(wa) + 1)):
+        return True
+    # the question with few words changed, put in or left out, all else in its order
+    changes = EDITED * len(wq)
+    return changes >= 1 and abs(len(wa) - len(wq)) <= changes and _edits(wq, wa, int(changes)) <= changes
+
+
+def _edits(a: list[str], b: list[str], most: int) -> int:
+    """Words to change, put in or leave out between two texts; more than ``most`` are told as one more. In a band of the table."""
+    row = {j: j for j in range(min(len(b), most) + 1)}
+    far = most + 1
+    for i, x in enumerate(a, 1):
+        now = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            now[j] = i if j == 0 else min(row.get(j - 1, far) + (x != b[j - 1]), row.get(j, far) + 1, now.get(j - 1, far) + 1)
+        row = now
+        if min(row.values()) > most:
+            return far
+    return row.get(len(b), far)
 
 
 def is_refusal(answer: str) -> bool:
-    """Whether an answer declines and does nothing besides."""
-    if len(answer) > 800 or not any(t in low for low in [answer.lower()] for t in TRIGGERS) or not REFUSALS.search(answer):
+    """Whether an answer declines and does nothing besides, however long it is."""
+    low = answer.lower()
+    if not any(t in low for t in TRIGGERS) or not REFUSALS.search(answer):
         return False
     rest = [s for s in _SENTENCE.findall(answer) if not REFUSALS.search(s)]
-    return sum(len(s.strip()) for s in rest) <= REST and len(rest) <= 2 and not re.search(r"(?i)\b(?:but|aber|mais|pero)\b[^.]*\b(?:allows? it|the rest is done)", answer) and not _does_more(rest)
+    return not re.search(r"(?i)\b(?:but|aber|mais|pero)\b[^.]*\b(?:allows? it|the rest is done)", answer) and not _does_more(rest)
 
 
 #: Phrases that close a refusal (fixed values, as patterns).
@@ -164,7 +201,8 @@ def defect(question: str, answer: str | None, n_calls: int, earlier: list[str] |
     spoken = language(seen)
     if spoken:
         asked = language(question) or next(filter(None, map(language, reversed(earlier))), None)
-        if asked and asked != spoken and spoken not in named_languages(question):
+        same = asked == spoken or {asked, spoken} == {"ja", "han"}  # a Japanese text may do without kana
+        if asked and not same and spoken not in named_languages(question):
             return "language"
     return None
 
@@ -210,6 +248,5 @@ def defective_pairs(records: DataFrame, key: str = "rec_no") -> DataFrame:
 
     rows = spread(records.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), "messages"))
     found = written(rows.mapInArrow(check, "key bigint, msg_no bigint, defect string, piece string, n bigint"), "pairs")
-    known = found.where("n IS NOT NULL").groupBy("piece").agg(F.sum("n").alias("times")).where(F.col("times") >= KNOWN)
-    cut = found.where("defect IS NULL AND n IS NULL").join(known, "piece", "left_anti").withColumn("defect", F.lit("truncated"))
+    cut = found.where("defect IS NULL AND n IS NULL").join(known_pieces(found), "piece", "left_anti").withColumn("defect", F.lit("truncated"))
     return found.where("defect IS NOT NULL").unionByName(cut).select("key", "msg_no", "defect")

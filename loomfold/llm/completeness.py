@@ -11,9 +11,20 @@ CUT_MARK = re.compile(r"(?:\[\W*(?:content |output |text |dom )?(?:truncated|cli
 TERMINATORS = set(".!?。！？．…:;\"”»'’)]}）」』】>`|")
 OPENING = {"(": ")", "[": "]", "{": "}", "（": "）", "「": "」", "『": "』", "【": "】", "“": "”", "«": "»"}
 CLOSING = {b: a for a, b in OPENING.items()}
+#: Words of a phrase that needs no full stop, and words that never end one: articles, prepositions, conjunctions (fixed values).
+PHRASE = 4
+NEVER_LAST = set("""
+    the a an of to in at by for from with and or but than as is are was were be its their your my
+    der die das dem den des ein eine einen einem einer und oder aber von zu zum zur im am mit für bei aus nach als ist sind war
+    le la les un une des du de et ou mais que qui à au aux dans par pour avec sur est sont
+    el los las una unos unas del y o pero al en con por para sin es son
+""".split())
 VOID_TAGS = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 
-_TOKEN = re.compile(r"```|`|<(/?)([A-Za-z][\w-]*)([^<>]*?)(/?)>|<[A-Za-z/][^<>\n]{0,80}\Z|[(){}\[\]（）「」『』【】“”«»\"]")
+#: An opening or closing tag that the text breaks off in: a name, whole attributes, perhaps a part of the last one.
+_BROKEN_TAG = r"""<[A-Za-z/][\w-]*(?:\s+[\w:-]+(?:=(?:"[^"<>]*"?|'[^'<>]*'?|[^\s"'<>]*))?)*\s*/?\Z"""
+_TOKEN = re.compile(r"```|`|<(/?)([A-Za-z][\w-]*)([^<>]*?)(/?)>|" + _BROKEN_TAG + r"|[(){}\[\]（）「」『』【】“”«»\"]")
+_JSON_START = re.compile(r'\s*(?:\{\s*["}]|\[\s*[\[{"\]\d-])')
 _FENCE = re.compile(r"(?m)^\s*```")
 _URL = re.compile(r"(?:https?|ftp)://\S+\.\S+/\S*\Z|(?:https?|ftp)://[\w.-]+\.\w{2,}/?\Z")
 _TAG = re.compile(r"(?:^|\s)(?:#|-- )[A-Za-z]{1,6}-\d+(?=\s|\Z)")
@@ -75,8 +86,7 @@ def open_structures(text: str) -> list[str]:
 
 def open_json(text: str) -> bool:
     """Text that starts like a JSON object or array of JSON but isn't closed."""
-    start = text.lstrip()[:2]
-    if not re.match(r'\{\s*["}]|\[\s*[\[{"\]\d-]', text.lstrip()[:40]) or not start:
+    if not _JSON_START.match(text):
         return False
     try:
         json.loads(text)
@@ -180,6 +190,6 @@ def _whole_without_stop(body: str, answer: bool) -> bool:
         lines = [x for x in body.split("\n") if _ITEM.match(x)]
         shape = lambda x: len(re.findall(r"[^\W\d_]+|\d+", x))
         return len(lines) == 1 or shape(line) >= shape(lines[-2]) - 1
-    if answer:  # a number, a name, a few words
-        return len(body) <= 40 and len(body.split()) <= 4 and not re.search(r"[.!?。]\s", body)
+    if answer:  # a number, a name, a phrase: no sentence before it, and no last word that calls for another
+        return len(body.split()) <= PHRASE and not re.search(r"[.!?。]\s", body) and last.lower() not in NEVER_LAST
     return False

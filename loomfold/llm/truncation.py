@@ -3,7 +3,9 @@
 Every content, every tool response and the messages text as a whole goes through the structural completeness check
 (``completeness``). Where a text ends in a list item or tag, which need no full stop, a dictionary of such pieces inside
 all texts tells whether the last piece is a whole one: a missing piece is a cut one. The baseline of a source is the
-share of its texts that end without a terminator; it and the lengths at which most cuts fall are reported.
+share of its texts that run on to their end without a terminator, all structures closed. In a source where that is the
+habit (``HABIT`` of its texts or more) a missing terminator alone is no cut; open structures, marks and broken bytes
+are. The baseline and the lengths at which most cuts fall are reported.
 
 One narrow pass over the records writes the few findings and the pre-aggregated dictionary; only these are shuffled.
 The dictionary is joined, not broadcast. No step depends on how many rows a source has.
@@ -15,6 +17,7 @@ are compared in lower case without outer spaces, null is the source "". Extra co
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomfold.functions.decode import content_text, inner, items, messages_of, rows_of
-from loomfold.llm.completeness import TERMINATORS, cut_reason, inner_pieces, last_piece
+from loomfold.llm.completeness import cut_reason, inner_pieces, last_piece
 from loomfold.session import ship, spread, written
 
-#: Times a piece must stand inside texts to count as whole.
-KNOWN = 3
+#: Times a piece must stand inside texts to count as whole: so many in small tables, this share of all pieces in large ones.
+KNOWN, KNOWN_SHARE = 3, 1e-6
+#: Share of unterminated texts from which on a source ends them so by habit, and texts it must have for that.
+HABIT, LEAST_TEXTS = 0.5, 20
 
 
 def texts_of(messages: list) -> Iterator[tuple[int, str, str]]:
@@ -53,43 +58,73 @@ def judged(text: str, role: str) -> str | None:
     return cut_reason(text, answer=role != "user")
 
 
+def known_pieces(found: DataFrame) -> DataFrame:
+    """(piece): the pieces that stand inside texts often enough, of rows (piece, n) of the dictionary."""
+    counts = found.where("n IS NOT NULL AND piece IS NOT NULL").groupBy("piece").agg(F.sum("n").alias("times"))
+    total = counts.agg(F.sum("times")).first()[0] or 0  # one number
+    return counts.where(F.col("times") >= max(KNOWN, math.ceil(total * KNOWN_SHARE))).select("piece")
+
+
+def _source(records: DataFrame):
+    return F.coalesce(F.lower(F.trim("source")), F.lit("")) if "source" in records.columns else F.lit("")
+
+
+FOUND = "key bigint, msg_no bigint, role string, reason string, piece string, length int, n bigint, source string, open_ends bigint"
+_FOUND = pa.schema([("key", pa.int64()), ("msg_no", pa.int64()), ("role", pa.string()), ("reason", pa.string()), ("piece", pa.string()), ("length", pa.int32()), ("n", pa.int64()), ("source", pa.string()), ("open_ends", pa.int64())])
+
+
 def findings(records: DataFrame, key: str = "rec_no") -> DataFrame:
-    """A written table with two kinds of rows: (key, msg_no, role, reason, piece, length) and (piece, n) of the dictionary."""
+    """A written table with three kinds of rows.
+
+    (key, msg_no, role, reason, piece, length, source) of texts that are or may be cut, (piece, n) of the dictionary, and
+    (source, n, open_ends) with the texts of a source and those that run on to their end without a terminator.
+    """
     ship(records.sparkSession)
-    schema = pa.schema([("key", pa.int64()), ("msg_no", pa.int64()), ("role", pa.string()), ("reason", pa.string()), ("piece", pa.string()), ("length", pa.int32()), ("n", pa.int64())])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, pieces = [], Counter()
-            for no, text in rows_of([batch]):
+            rows, pieces, texts, ends = [], Counter(), Counter(), Counter()
+            for no, text, source in rows_of([batch]):
                 if text is None or not text.strip():
                     continue
                 messages = messages_of(text)
                 if messages is None:
-                    rows.append((no, -1, "messages", "json", None, len(text), None))
+                    rows.append((no, -1, "messages", "json", None, len(text), None, source, None))
                     continue
                 for i, role, part in texts_of(messages):
                     reason = judged(part, role)
                     if role != "log":
                         pieces.update(inner_pieces(part))
+                        texts[source] += 1
+                        ends[source] += reason == "ending"
                     piece = last_piece(part) if reason is None and role != "log" else None
                     if reason or piece:
-                        rows.append((no, i, role, reason, piece, len(part), None))
-            rows += [(None, None, None, None, p, None, n) for p, n in pieces.items()]
-            columns = list(zip(*rows)) or [()] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                        rows.append((no, i, role, reason, piece, len(part), None, source, None))
+            rows += [(None, None, None, None, p, None, n, None, None) for p, n in pieces.items()]
+            rows += [(None, None, None, None, None, None, n, s, ends[s]) for s, n in texts.items()]
+            columns = list(zip(*rows)) or [()] * len(_FOUND)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND)
+
+    rows = spread(records.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), "messages", _source(records).alias("source")))
+    return written(rows.mapInArrow(check, FOUND), "findings")
 
-    rows = spread(records.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint"), "messages"))
-    return written(rows.mapInArrow(check, "key bigint, msg_no bigint, role string, reason string, piece string, length int, n bigint"), "findings")
+
+def baselines(found: DataFrame) -> DataFrame:
+    """(source, n_texts, unterminated): the texts of each source and the share of them that end without a terminator."""
+    counts = found.where("open_ends IS NOT NULL").groupBy("source").agg(F.sum("n").alias("n_texts"), F.sum("open_ends").alias("open_ends"))
+    return counts.select("source", "n_texts", (F.col("open_ends") / F.col("n_texts")).alias("unterminated"))
+
+
+def _cut(found: DataFrame) -> DataFrame:
+    habit = baselines(found).where((F.col("unterminated") >= HABIT) & (F.col("n_texts") >= LEAST_TEXTS)).select("source", F.lit("ending").alias("reason"))
+    sure = found.where("reason IS NOT NULL").join(habit, ["source", "reason"], "left_anti")
+    pieces = found.where("key IS NOT NULL AND reason IS NULL").join(known_pieces(found), "piece", "left_anti").withColumn("reason", F.lit("piece"))
+    return sure.unionByName(pieces.select(*sure.columns)).select("key", "msg_no", "role", "reason", "length")
 
 
 def cut_texts(records: DataFrame, key: str = "rec_no") -> DataFrame:
     """(key, msg_no, role, reason, length) of the texts that were cut off; msg_no is -1 for the messages text as a whole."""
-    found = findings(records, key)
-    known = found.where("n IS NOT NULL").groupBy("piece").agg(F.sum("n").alias("times")).where(F.col("times") >= KNOWN)
-    sure = found.where("reason IS NOT NULL")
-    pieces = found.where("reason IS NULL AND n IS NULL").join(known, "piece", "left_anti").withColumn("reason", F.lit("piece"))
-    return sure.unionByName(pieces).select("key", "msg_no", "role", "reason", "length")
+    return _cut(findings(records, key))
 
 
 def truncated_records(records: DataFrame, key: str = "rec_no") -> DataFrame:
@@ -98,17 +133,14 @@ def truncated_records(records: DataFrame, key: str = "rec_no") -> DataFrame:
 
 
 def rates(records: DataFrame, key: str = "rec_no") -> DataFrame:
-    """(source, n_records, n_truncated, rate, usual_length): the rate of truncation per source and where most cuts fall."""
-    named = records.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.lower(F.trim("source")), F.lit("")).alias("source"))
-    cut = cut_texts(records, key).groupBy("key").agg(F.max(F.when(F.col("msg_no") >= 0, F.col("length"))).alias("length"))
+    """(source, n_records, n_truncated, rate, usual_length, unterminated): how often and where each source cuts, and its baseline."""
+    named = records.select(F.col(key).cast("bigint").alias("key"), _source(records).alias("source"))
+    found = findings(records, key)
+    cut = _cut(found).groupBy("key").agg(F.max(F.when(F.col("msg_no") >= 0, F.col("length"))).alias("length"))
     joined = named.join(cut.withColumn("cut", F.lit(1)), "key", "left")
     counts = joined.groupBy("source", "length").agg(F.count("*").alias("n"), F.count("cut").alias("n_cut"))
     usual = F.max_by("length", F.when(F.col("length").isNotNull(), F.struct("n_cut", "length")))
-    return counts.groupBy("source").agg(F.sum("n").alias("n_records"), F.sum("n_cut").alias("n_truncated"), usual.alias("usual_length")).select(
-        "source", "n_records", "n_truncated", (F.col("n_truncated") / F.col("n_records")).alias("rate"), "usual_length",
+    per_source = counts.groupBy("source").agg(F.sum("n").alias("n_records"), F.sum("n_cut").alias("n_truncated"), usual.alias("usual_length"))
+    return per_source.join(baselines(found), "source", "left").select(
+        "source", "n_records", "n_truncated", (F.col("n_truncated") / F.col("n_records")).alias("rate"), "usual_length", F.coalesce("unterminated", F.lit(0.0)).alias("unterminated"),
     )
-
-
-def unterminated(text: str) -> bool:
-    """Whether a text ends without a terminator."""
-    return bool(text.rstrip()) and text.rstrip()[-1] not in TERMINATORS

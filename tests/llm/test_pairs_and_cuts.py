@@ -26,6 +26,8 @@ def test_cut_texts(text, reason):
 
 
 def test_long_texts_end():
+    assert completeness.cut_reason(f"<li>x</li> <a href='{'y' * 300}' title=\"{'z' * 200}") == "markup"
+    assert completeness.open_json(" " * 300 + '{"a": [1') and not completeness.open_json(" " * 300 + '{"a": [1]}')
     assert completeness.cut_reason("word " * 200_000 + "end.") is None
     assert completeness.cut_reason("(" * 100_000 + " end") == "bracket"
 
@@ -50,6 +52,16 @@ def test_truncated_records_and_rates(spark):
     assert truncation.truncated_records(df.limit(0)).count() == 0
 
 
+def test_a_missing_terminator_is_no_cut_where_it_is_the_habit(spark):
+    rows = [(i, "lax", chat("Tell me all of it", f"number {i} is the one that we want")) for i in range(30)]
+    rows += [(100, "lax", chat("Tell me all of it", "the (one")), (200, "strict", chat("Tell me.", "It is the one that we")), *((300 + i, "strict", chat("Tell me.", "It is this one.")) for i in range(30))]
+    df = frame(spark, *rows)
+    assert sorted(r.key for r in truncation.truncated_records(df).collect()) == [100, 200]
+    told = {r.source: r.unterminated for r in truncation.rates(df).collect()}
+    assert told["lax"] > 0.9 and told["strict"] < 0.1
+
+
+LONG = "Which of the blue boxes that came in last week should I send on to the old street address of yours today?"
 ENGLISH, GERMAN = "Which of the boxes should I send to you?", "Bitte senden Sie das Paket nicht an die alte Adresse."
 
 
@@ -61,6 +73,10 @@ ENGLISH, GERMAN = "Which of the boxes should I send to you?", "Bitte senden Sie
         (ENGLISH, "The blue box is the one that", 0, "truncated"), (ENGLISH, "I cannot assist with this request. Thank you for understanding.", 0, "refusal"), (ENGLISH, "Es tut mir leid, aber dabei kann ich nicht helfen.", 0, "refusal"),
         (ENGLISH, "この件についてはお手伝いできません。", 0, "refusal"), (ENGLISH, "I'm sorry for the wait. The blue box is the one that you should send.", 0, None), (ENGLISH, "I won't touch the box; the rest is done. It is the blue one.", 0, None),
         (ENGLISH, GERMAN, 0, "language"), (ENGLISH, "この値は毎晩計算し直されます。それから倉庫を確認してください。", 0, "language"), (f"Translate this into German: {ENGLISH}", GERMAN, 0, None), (GERMAN, GERMAN + " Sie ist falsch.", 0, None),
+        (ENGLISH, "Вам следует отправить синюю коробку.", 0, "language"), (ENGLISH, "青色箱子是您应该寄出的那一个。", 0, "language"), (GERMAN, "Στείλτε το μπλε κουτί.", 0, "language"),
+        (LONG, LONG.replace("blue", "grey"), 0, "copy"), (LONG, LONG.replace("blue", "grey").replace("boxes", "bags").replace("street", "road"), 0, None), (ENGLISH, ENGLISH.replace("boxes", "bags"), 0, None),
+        (ENGLISH, "I cannot assist with this request. " * 40 + "Thank you for understanding.", 0, "refusal"), (ENGLISH, "I cannot assist with this request. " + "The blue one weighs two pounds. " * 40, 0, None),
+        (ENGLISH, "Send all of the", 0, "truncated"), (ENGLISH, "Extraordinarily-long-named-blue-storage-container 42", 0, None),
         ("", "", 0, "empty"), ("", "All right.", 0, None),
     ],
 )
