@@ -1,14 +1,15 @@
 """Mixing sources to target weights by temperature and budgeted block permutations.
 
 The weight of a source at temperature exponent a is proportional to target ** a x natural ** (1 - a), with its share of
-all tokens as natural weight: 1 gives the targets, 0 the natural mix. Where no targets are given the natural shares are
-exponentiated themselves, and the exponent is bisected to a target entropy. The total budget of tokens is, unless
-given, the largest at which the targets hold and no source is repeated more than it may be; with a larger one the
-exponent is bisected to the largest that keeps the repetition limits, and the actual shares are reported.
+all tokens as natural weight: 1 gives the targets, 0 the natural mix. Where a target entropy is given instead, the
+natural shares are exponentiated themselves, and the exponent is bisected to it. The total budget of tokens is, unless
+given (as tokens or as a share of all), the largest at which the weights hold and no source is repeated more than it
+may be; with a larger one the exponent is bisected to the largest that keeps the repetition limits. Planned and actual
+shares are reported.
 
 A source is drawn in whole passes over its documents and a rest, taken from a permutation by hash. The permutation is
-cut into blocks: totals of blocks are aggregated, whole blocks go in by a running sum of ``BLOCKS`` rows per source,
-and only the block in which the budget ends is ordered by document, so no task holds a source, however large. What is
+cut into blocks of about ``BLOCK_TOKENS``: totals of blocks are aggregated, whole blocks go in by a running sum over
+them, and only the block in which the budget ends is ordered by document, so no task holds a source, however large. What is
 left where the next document is too long is filled from the permutation of the documents of at most a tenth of it.
 
 Defined results. Targets that are null, 0, negative or without tokens draw nothing and are reported with an actual
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from loomfold.llm.tokens import VOCABULARY, counted
 from loomfold.session import written
 
-BLOCKS, STEPS, MAX_TARGETS = 1_024, 60, 20_000
+BLOCK_TOKENS, STEPS, MAX_TARGETS = 1_000_000, 60, 20_000
 #: Largest document, as a share of what is left, in each round of filling the rest.
 FILLS = (1.0, 0.1, 0.1)
 
@@ -93,8 +94,14 @@ def _rest(placed: DataFrame, rests: DataFrame) -> DataFrame:
     return joined.where("whole").select("doc_id", "source", "n_tokens").unionByName(partial.select("doc_id", "source", "n_tokens"))
 
 
-def mix(documents: DataFrame, targets: DataFrame, budget: float | None = None, seed: int = 1, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
-    """(draws, shares): draws (doc_id, source, n_tokens, repeats) and shares (source, target_share, n_tokens, n_docs, actual_share)."""
+def mix(
+    documents: DataFrame, targets: DataFrame, budget: float | None = None, seed: int = 1, vocabulary: str = VOCABULARY, share: float | None = None, target_entropy: float | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(draws, shares): draws (doc_id, source, n_tokens, repeats) and shares (source, target_share, planned_share, n_tokens, n_docs, most_repeats, actual_share).
+
+    budget: tokens of the mix, or share: the same as a share of all tokens of the targeted sources. target_entropy: of
+    the weights, in nats, in place of those of the targets; these then only tell the sources and their repeats.
+    """
     spark = documents.sparkSession
     clean = lambda c: F.lower(F.trim(c))
     wanted = targets.where("source IS NOT NULL").groupBy(clean("source").alias("source")).agg(F.sum("weight").alias("weight"), F.max("max_repeats").alias("max_repeats"))
@@ -108,25 +115,30 @@ def mix(documents: DataFrame, targets: DataFrame, budget: float | None = None, s
     )
     sized = written(counted(drawn, ("doc_id", "source"), vocabulary), "sizes")
     tokens = {r.source: int(r.n or 0) for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}  # at most as many as targets
-    weights, total, _ = plan(target, tokens, repeats, budget)
-    quota = [(k, math.floor(w * total / tokens[k] + 1e-9), max(0.0, w * total - math.floor(w * total / tokens[k] + 1e-9) * tokens[k]), repeats[k]) for k, w in weights.items()]
-    quotas = F.broadcast(spark.createDataFrame(quota or [("", 0, 0.0, 0)], "source string, passes int, rest double, cap int"))
-    placed = sized.withColumn("place", F.xxhash64(F.lit(seed), "doc_id")).withColumn("block", F.pmod(F.col("place"), F.lit(BLOCKS)).cast("int"))
-    rests = quotas.select("source", "rest")
+    if target_entropy is not None:
+        target = {k: 0.0 for k in target} | at_entropy(normalized({k: float(n) for k, n in tokens.items() if n > 0}), target_entropy)
+    weights, total, _ = plan(target, tokens, repeats, share * sum(tokens.values()) if share is not None else budget)
+    passes = {k: math.floor(w * total / tokens[k] + 1e-9) for k, w in weights.items()}
+    quota = [(k, passes[k], repeats[k], max(1, -(-tokens[k] // BLOCK_TOKENS))) for k in weights]
+    quotas = F.broadcast(spark.createDataFrame(quota or [("", 0, 0, 1)], "source string, passes int, cap int, blocks bigint"))  # MAX_TARGETS at most
+    placed = sized.withColumn("place", F.xxhash64(F.lit(seed), "doc_id")).join(quotas, "source")
+    placed = placed.withColumn("block", F.pmod("place", "blocks")).drop("passes", "cap", "blocks")
+    rest = {k: max(0.0, w * total - passes[k] * tokens[k]) for k, w in weights.items()}
     extra = None
-    for share in FILLS:
+    for part in FILLS:
         fresh = placed if extra is None else placed.join(extra.select("doc_id"), "doc_id", "left_anti")
-        drawn = written(_rest(fresh.join(rests, "source").where(F.col("n_tokens") <= F.col("rest") * share).drop("rest"), rests), "extra")
+        rests = F.broadcast(spark.createDataFrame(list(rest.items()) or [("", 0.0)], "source string, rest double"))
+        drawn = written(_rest(fresh.join(rests, "source").where(F.col("n_tokens") <= F.col("rest") * part).drop("rest"), rests), "extra")
         extra = drawn if extra is None else extra.unionByName(drawn)
-        got = drawn.groupBy("source").agg(F.sum("n_tokens").alias("got"))
-        rests = rests.join(got, "source", "left").select("source", (F.col("rest") - F.coalesce("got", F.lit(0))).alias("rest"))
+        for r in drawn.groupBy("source").agg(F.sum("n_tokens").alias("got")).collect():  # one row per target
+            rest[r.source] -= r.got
     both = sized.join(extra.select("doc_id", F.lit(1).alias("extra")), "doc_id", "left").join(quotas, "source")
     times = F.least(F.col("passes") + F.coalesce("extra", F.lit(0)), F.col("cap"))
     draws = both.select("doc_id", "source", "n_tokens", times.alias("repeats")).where("repeats > 0")
     used = draws.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("n_tokens"), F.count("*").alias("n_docs"), F.max("repeats").alias("most_repeats"))
     all_weight = sum(w for w in target.values() if w > 0) or 1.0
-    listed = spark.createDataFrame([(k, max(w, 0.0) / all_weight) for k, w in target.items()] or [("", 0.0)], "source string, target_share double").where("source <> ''")
+    listed = spark.createDataFrame([(k, max(w, 0.0) / all_weight, weights.get(k, 0.0)) for k, w in target.items()] or [("", 0.0, 0.0)], "source string, target_share double, planned_share double").where("source <> ''")
     told = listed.join(used, "source", "left").fillna(0, ["n_tokens", "n_docs", "most_repeats"])
     grand = F.sum("n_tokens").over(Window.partitionBy(F.lit(1)))  # one row per target
     shares = told.withColumn("actual_share", F.when(grand > 0, F.col("n_tokens") / grand).otherwise(0.0))
-    return draws, shares.select("source", "target_share", "n_tokens", "n_docs", "most_repeats", "actual_share")
+    return draws, shares.select("source", "target_share", "planned_share", "n_tokens", "n_docs", "most_repeats", "actual_share")

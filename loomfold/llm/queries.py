@@ -90,12 +90,27 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p8_budget_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws of three tenths of all tokens: the exponent is bisected to the repetition limits."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"), share=0.3)[0]
+
+
+def p8_budget_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares of that mix: target, planned with the bisected exponent, and actual."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"), share=0.3)[1]
+
+
+def p8_entropy_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares of a mix whose weights are the natural shares, exponentiated to an entropy of 3 nats."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"), target_entropy=3.0)[1]
+
+
 def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ordered pieces of documents with more tokens than their kind may have."""
     return splitting.split(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "split_limits"))
 
 
-QUERIES = {"p8_draws": p8_draws, "p8_shares": p8_shares, "p9_pieces": p9_pieces, "p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p6_decisions": p6_decisions, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
+QUERIES = {"p8_draws": p8_draws, "p8_shares": p8_shares, "p8_budget_draws": p8_budget_draws, "p8_budget_shares": p8_budget_shares, "p8_entropy_shares": p8_entropy_shares, "p9_pieces": p9_pieces, "p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p6_decisions": p6_decisions, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
 SQL: dict[str, str] = {}
 
 
