@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomfold.functions.decode import rows_of
-from loomfold.session import ship, spread
+from loomfold.session import ship, spread, written
 
 SHARD, ITEM_WORDS = 1_000_000, 4_000_000
+#: Matches that are followed up at a time: a passage that stands in many places and items is never held as all pairs.
+AT_ONCE = 2_000_000
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -86,11 +87,13 @@ def _ranks(numbers: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
     return key
 
 
-def search_shard(numbers: np.ndarray, items: Items, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place in the shard, place in the items, matched words) of all matches of at least ``least`` words, the longest per start."""
-    none = np.array([], np.int64)
+def search_shard(numbers: np.ndarray, items: Items, least: int, at_once: int = AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(place in the shard, place in the items, matched words) of all matches of at least ``least`` words, the longest per start.
+
+    They come in parts of about ``at_once`` matches.
+    """
     if len(numbers) < least or len(items.twos) == 0:
-        return none, none, none
+        return
     two = numbers[:-1] * items.width + numbers[1:]
     at = np.searchsorted(items.twos, two)
     at[at == len(items.twos)] = 0
@@ -99,7 +102,7 @@ def search_shard(numbers: np.ndarray, items: Items, least: int) -> tuple[np.ndar
     total = np.r_[0, np.cumsum(known)]
     starts = np.flatnonzero(total[least - 1 :] - total[: len(total) - least + 1] == least - 1)
     if len(starts) == 0:
-        return none, none, none
+        return
     # pack the parts of the shard around the starts, then the items: one array, ranked together
     needed = np.zeros(len(numbers) + 1, np.int32)
     np.add.at(needed, starts, 1)
@@ -118,11 +121,19 @@ def search_shard(numbers: np.ndarray, items: Items, least: int) -> tuple[np.ndar
     sorted_ranks = mine[order]
     low, high = np.searchsorted(sorted_ranks, theirs, "left"), np.searchsorted(sorted_ranks, theirs, "right")
     hits = high - low
-    test = np.repeat(tests, hits)
-    first = np.repeat(low, hits)
-    within = np.arange(len(first)) - np.repeat(np.cumsum(hits) - hits, hits)
-    place = starts[order[first + within]]
-    # go on word by word behind the shared prefix
+    held = np.flatnonzero(hits)
+    places = starts[order]
+    for part in np.split(held, np.flatnonzero(np.diff(np.cumsum(hits[held]) // at_once)) + 1):
+        for first in range(0, int(hits[part].max(initial=0)), at_once):  # one passage in very many places goes in parts itself
+            own = np.clip(hits[part] - first, 0, at_once)
+            test = np.repeat(tests[part], own)
+            within = np.arange(len(test)) - np.repeat(np.cumsum(own) - own, own)
+            place = places[np.repeat(low[part] + first, own) + within]
+            yield _followed(numbers, items, place, test, least)
+
+
+def _followed(numbers: np.ndarray, items: Items, place: np.ndarray, test: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matches with their lengths, word by word behind the shared beginning."""
     length = np.full(len(place), least, np.int64)
     alive = np.arange(len(place))
     while len(alive):
@@ -152,15 +163,15 @@ def _matches(documents: DataFrame, items: Items, least: int) -> DataFrame:
 
         def search() -> pa.RecordBatch:
             shard = np.concatenate(pieces) if pieces else np.array([], np.int64)
-            place, test, length = search_shard(shard, items, least)
             bounds = np.array(ends, np.int64)
-            doc = np.searchsorted(bounds, place, side="right")
             begin = np.r_[0, bounds[:-1]] if len(bounds) else bounds
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for d, p, t, n in zip(doc.tolist(), place.tolist(), test.tolist(), length.tolist()):
-                key, found = (docs[d], int(items.owner[t])), (n, -(p - int(begin[d])), -int(items.place[t]))
-                if key not in best or found > best[key]:
-                    best[key] = found
+            for place, test, length in search_shard(shard, items, least):
+                doc = np.searchsorted(bounds, place, side="right")
+                for d, p, t, n in zip(doc.tolist(), place.tolist(), test.tolist(), length.tolist()):
+                    key, found = (docs[d], int(items.owner[t])), (n, -(p - int(begin[d])), -int(items.place[t]))
+                    if key not in best or found > best[key]:
+                        best[key] = found
             columns = [[k[0] for k in best], [k[1] for k in best], [v[0] for v in best.values()], [-v[1] for v in best.values()], [-v[2] for v in best.values()]]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "n_words", "doc_word", "item_word"])
 
@@ -182,22 +193,34 @@ def _matches(documents: DataFrame, items: Items, least: int) -> DataFrame:
     return rows.mapInArrow(look, "doc_id bigint, item_id bigint, n_words bigint, doc_word bigint, item_word bigint")
 
 
+def _blocks(items: DataFrame) -> Iterator[Items]:
+    """The items in blocks of about ``ITEM_WORDS`` words; the driver holds one partition of rows and a block or two."""
+    rows = items.where("item_id IS NOT NULL AND item_text IS NOT NULL").select(F.col("item_id").cast("bigint"), "item_text")
+    block, words, any_block = [], 0, False
+    for row in rows.orderBy("item_id").toLocalIterator():
+        block.append(tuple(row))
+        words += len(words_of(row[1]))
+        if words >= ITEM_WORDS:
+            yield Items(block)
+            block, words, any_block = [], 0, True
+    if block or not any_block:
+        yield Items(block)
+
+
 def leaks(documents: DataFrame, items: DataFrame, least: int = 12) -> DataFrame:
     """(doc_id, item_id, n_words, doc_word, item_word): the longest passage of at least ``least`` words per document and item.
 
     doc_word and item_word are the numbers of its first word in either text.
     """
     ship(documents.sparkSession)
-    item_rows = items.where("item_id IS NOT NULL AND item_text IS NOT NULL").select(F.col("item_id").cast("bigint"), "item_text")
-    blocks, block, words = [], [], 0
-    for row in item_rows.orderBy("item_id").toLocalIterator():  # one partition at a time; each block is bounded
-        block.append(tuple(row))
-        words += len(words_of(row[1]))
-        if words >= ITEM_WORDS:
-            blocks.append(block)
-            block, words = [], 0
-    blocks += [block] if block or not blocks else []
-    found = reduce(DataFrame.unionByName, [_matches(documents, Items(b), least) for b in blocks])
+    found, before = None, None
+    for block in _blocks(items):
+        if before is not None:  # one block of items at a time: its matches are written before the next is made
+            table = written(_matches(documents, before, least), "matches")
+            found = table if found is None else found.unionByName(table)
+        before = block
+    last = _matches(documents, before, least)
+    found = last if found is None else found.unionByName(last)
     order = F.struct("n_words", -F.col("doc_word"), -F.col("item_word"))
     best = found.groupBy("doc_id", "item_id").agg(F.max(order).alias("b"))
     return best.select("doc_id", "item_id", "b.n_words", (-F.col("b.col2")).alias("doc_word"), (-F.col("b.col3")).alias("item_word"))
