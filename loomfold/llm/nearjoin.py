@@ -34,6 +34,8 @@ from loomfold.llm.texts import both, mixed, record_text, runs
 from loomfold.session import ship, spread, written
 
 WIDTH = 128
+#: Members of a class in a block, where pairs are expanded; rounds of connecting groups.
+BLOCK = 1_000
 _ROUND = 64
 
 _SEEDS = mixed(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -312,14 +314,34 @@ def near_classes(records: DataFrame, tenths: int = 8, key: str = "rec_no", size:
 
 
 def near_pairs(records: DataFrame, tenths: int = 8, key: str = "rec_no", size: int = 5, recall: float = 0.9999) -> DataFrame:
-    """All pairs (rec_a < rec_b) of records with a likeness of at least tenths / 10, copies included."""
+    """All pairs (rec_a < rec_b) of records with a likeness of at least tenths / 10, copies included.
+
+    Where all pairs are asked for, k copies are k * (k - 1) / 2 rows; ``near_classes`` has them without.
+    """
     members, links = near_classes(records, tenths, key, size, recall)
-    a, b = members.toDF("key_a", "a"), members.toDF("key_b", "b")
-    # within a class: every member with the earlier ones, and across classes: the members of linked classes
-    equal = a.join(b, (F.col("a") == F.col("b")) & (F.col("key_a") < F.col("key_b"))).select("key_a", "key_b")
-    near = links.select("a", "b").join(a, "a").join(b, "b").select("key_a", "key_b")
-    pairs = equal.union(near)
-    return pairs.select(F.least("key_a", "key_b").alias("rec_a"), F.greatest("key_a", "key_b").alias("rec_b"))
+    return expanded(written(members, "members"), links)
+
+
+def expanded(members: DataFrame, links: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The pairs (rec_a, rec_b) of members (key, rep) of one class or of linked classes.
+
+    Classes of more than ``block`` members are cut into blocks, and pairs of blocks are joined: no task gets more than
+    the pairs of two blocks of one class at a time, however large a class is.
+    """
+    large = members.groupBy("rep").agg(F.count("*").alias("n")).where(F.col("n") > block).select("rep", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    counted = members.join(large, "rep", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = counted.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    a = placed.select(F.col("key").alias("key_a"), "rep", "block", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("other"))
+    b = placed.select(F.col("key").alias("key_b"), "rep", F.col("block").alias("other"))
+    # within a class: a block with itself and those behind
+    equal = a.join(b, ["rep", "other"]).where((F.col("block") < F.col("other")) | (F.col("key_a") < F.col("key_b"))).select("key_a", "key_b")
+    blocks_of = lambda side: large.select(F.col("rep").alias(side), F.col("blocks").alias(f"blocks_{side}"))
+    each = lambda side: F.explode(F.sequence(F.lit(0), F.coalesce(f"blocks_{side}", F.lit(1)) - 1)).alias(f"block_{side}")
+    sized = links.select("a", "b").join(blocks_of("a"), "a", "left").join(blocks_of("b"), "b", "left")
+    cells = sized.select("a", "b", each("a"), "blocks_b").select("a", "b", "block_a", each("b"))
+    side = lambda x: placed.select(F.col("rep").alias(x), F.col("block").alias(f"block_{x}"), F.col("key").alias(f"key_{x}"))
+    near = cells.join(side("a"), ["a", "block_a"]).join(side("b"), ["b", "block_b"]).select("key_a", "key_b")
+    return equal.union(near).select(F.least("key_a", "key_b").alias("rec_a"), F.greatest("key_a", "key_b").alias("rec_b"))
 
 
 def components(members: DataFrame, links: DataFrame) -> DataFrame:
