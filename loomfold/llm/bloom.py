@@ -1,7 +1,8 @@
-"""A Bloom filter of fixed size: keeps rows that surely aren't wanted out of a shuffle.
+"""A Bloom filter of bounded size: keeps rows that surely aren't wanted out of a shuffle.
 
-The filter has ``bits`` bits whatever the number of keys, so what is collected and shipped is bounded (1 MiB unless
-more is asked for). With many more keys than bits it lets everything pass: more is shuffled then, and the result stays the same.
+The filter has 16 bits a key, in powers of two between ``LEAST`` and ``MOST``, so what is collected and shipped is at
+most 16 MiB. With far more keys than that it lets more pass: more is shuffled then, and the result stays the same. It
+is built from the places of the keys, 8 bytes each, which are put together where they lie, not from filters of tasks.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from loomfold.llm.texts import mixed
 
-BITS, _CHUNK = 1 << 23, 1 << 15
+LEAST, MOST, _CHUNK = 1 << 20, 1 << 27, 1 << 15
 
 
 def _places(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -22,32 +23,40 @@ def _places(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([h & np.uint64(bits - 1), (h >> np.uint64(32)) & np.uint64(bits - 1)]).astype(np.int64)
 
 
-def build(keys: DataFrame, bits: int = BITS) -> np.ndarray:
-    """The filter of a column of integers, as one bit per place; bits is a power of two of at most 2 ** 32."""
+def bits_for(keys: int) -> int:
+    """Bits of a filter for so many keys."""
+    return min(MOST, max(LEAST, 1 << (16 * keys - 1).bit_length())) if keys > 0 else LEAST
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.zeros(bits, bool)
+
+def build(keys: DataFrame, bits: int | None = None) -> np.ndarray:
+    """The filter of a column of integers, as one bit per place; bits is a power of two of at most 2 ** 32, by default as many as the keys ask for."""
+    bits = bits_for(keys.count()) if bits is None else bits
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks[_places(batch.column(0).drop_null().to_numpy(), bits)] = True
-        chunks = np.packbits(marks.reshape(-1, _CHUNK), axis=1)
-        used = np.flatnonzero(chunks.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([chunks[i].tobytes() for i in used], pa.binary())], ["chunk", "bits"])
+            at = np.unique(_places(batch.column(0).drop_null().to_numpy(), bits))
+            yield pa.RecordBatch.from_arrays([pa.array((at // _CHUNK).astype(np.int32)), pa.array((at % _CHUNK).astype(np.int32))], ["chunk", "at"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for chunk, part in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist()):
-                own = np.frombuffer(part, np.uint8)
-                total[chunk] = total[chunk] | own if chunk in total else own
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["chunk", "bits"])
+            chunks, at = batch.column("chunk").to_numpy(), batch.column("at").to_numpy()
+            order = np.argsort(chunks, kind="stable")
+            for chunk, places in zip(*_runs(chunks[order], at[order])):
+                total.setdefault(int(chunk), np.zeros(_CHUNK, bool))[places] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.packbits(x).tobytes() for x in total.values()], pa.binary())], ["chunk", "bits"])
 
-    schema = "chunk int, bits binary"
     packed = np.zeros((bits // _CHUNK, _CHUNK // 8), np.uint8)
-    for chunk, part in keys.mapInArrow(mark, schema).repartition("chunk").mapInArrow(merge, schema).collect():
+    for chunk, part in keys.mapInArrow(place, "chunk int, at int").repartition("chunk").mapInArrow(merge, "chunk int, bits binary").collect():
         packed[chunk] = np.frombuffer(part, np.uint8)
     return packed.ravel()
 
 
+def _runs(chunks: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    starts = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1]]) if len(chunks) else np.array([], np.int64)
+    return chunks[starts], np.split(at, starts[1:]) if len(starts) else []
+
+
 def may_hold(packed: np.ndarray, keys: pa.Array) -> np.ndarray:
     """Which keys may be in the filter; nulls are not."""
     places = _places(keys.fill_null(0).to_numpy(), len(packed) * 8)

@@ -33,43 +33,12 @@ from pyspark.sql import functions as F
 from loomfold.functions.decode import rows_of
 from loomfold.llm.bloom import build, may_hold
 from loomfold.llm.nearjoin import minwise, sketch_distance, sketches
-from loomfold.llm.texts import both, mixed, record_text, runs
+from loomfold.llm.texts import both, record_text, runs
 from loomfold.session import shared_dir, ship, spread, written
 
-#: Resolutions of ``chunks``: window and mean size in bytes, and the lengths of texts that have them.
-RESOLUTIONS = ((4, 8, 0, 600), (8, 16, 300, 1 << 62))
-RUN_BITS = 1 << 25  # of the filter of a batch's runs: 4 MiB
 TOKEN_SHIFT = 24  # 40 bits of a run are kept; runs that agree in them may meet, but are counted whole
 ROWS = "key bigint, tail string, set_id binary, tokens array<bigint>, s0 bigint, s1 bigint"
 
-_GEAR = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-def chunks(text: str) -> tuple[list[int], list[int]]:
-    """Distinct chunk hashes of the lower-cased text with single spaces, and their bytes; the lowest bit tells the resolution.
-
-    Lookups don't use chunks: no share of common chunks is sure for texts of a given likeness.
-    """
-    data = " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
-    each = _GEAR[np.frombuffer(data, np.uint8)]
-    found: dict[int, int] = {}
-    for resolution, (window, divisor, least, most) in enumerate(RESOLUTIONS):
-        if not least <= len(data) < most:
-            continue
-        rolling = np.zeros(len(data), np.uint64)
-        for back in range(min(window, len(data))):
-            rolling[back:] += each[: len(data) - back] << np.uint64(3 * back)
-        ends = np.flatnonzero(mixed(rolling) % np.uint64(divisor) == 0) + 1
-        if len(ends) == 0 or ends[-1] != len(data):
-            ends = np.r_[ends, len(data)]
-        at = 0
-        for end in ends.tolist():
-            if end > at:
-                found[(xxhash.xxh64_intdigest(data[at:end]) & ~1 | resolution) - (1 << 63)] = end - at
-            at = end
-    return list(found), list(found.values())
-
-
 def id_tail(column: str = "id"):
     """The last 16 characters of an id, outer spaces and letter case ignored; null where there are none."""
     tail = F.substring(F.lower(F.regexp_replace(column, r"^\s+|\s+$", "")), -16, 16)
@@ -173,7 +142,7 @@ class History:
         # one column holds the class and whether it is old: 2 x key + 1 or 2 x key
         own = F.col("key") * 2
         # texts of history of whose runs the batch surely has too few stay out of the shuffle
-        met_runs = _that_may_match(old.select("key", "tokens"), build(new.select(F.explode("tokens")), RUN_BITS), self.tenths)
+        met_runs = _that_may_match(old.select("key", "tokens"), build(new.select(F.explode("tokens"))), self.tenths)
         everything = met_runs.select(F.explode("tokens").alias("token"), (own + 1).alias("b")).union(new.select(F.explode("tokens"), own)).repartition("token")
         frequency = everything.groupBy("token").count().where("count > 1")
         mine = new.select(F.col("key").alias("a"), F.size("tokens").alias("runs"), F.explode("tokens").alias("token"))

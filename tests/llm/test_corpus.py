@@ -69,6 +69,17 @@ def test_blocks_shards_and_reports(spark, monkeypatch):
     assert leakage.leaks(docs(spark, *rows).limit(0), items).count() == 0 and leakage.leaks(docs(spark, *rows), items.limit(0)).count() == 0
 
 
+def test_passages_in_many_places_go_in_parts():
+    words = [f"w{i}" for i in range(14)]
+    items = leakage.Items([(i, " ".join([*words, f"own{i}"])) for i in range(20)])
+    line = [items.vocabulary[w] for w in words]
+    shard = np.array([*(line + [0]) * 50], np.int64)
+    whole = [np.concatenate(x) for x in zip(*leakage.search_shard(shard, items, 12))]
+    parts = list(leakage.search_shard(shard, items, 12, at_once=37))
+    assert len(parts) > 20 and max(len(p[0]) for p in parts) <= 2 * 37 * 3 and len(whole[0]) == 50 * 20 * 3
+    assert sorted(zip(*map(np.ndarray.tolist, map(np.concatenate, zip(*parts))))) == sorted(zip(*map(np.ndarray.tolist, whole)))
+
+
 def test_temperature():
     natural = {"a": 0.7, "b": 0.2, "c": 0.1}
     assert mixing.entropy(mixing.at_entropy(natural, 1.0)) == pytest.approx(1.0, abs=1e-6)
@@ -99,6 +110,14 @@ def test_mix_meets_weights_and_limits(spark):
     for s in ("big", "mid", "small"):
         assert told[s].n_tokens == sum(r.n_tokens * r.repeats for r in got if r.source == s)
     assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix(docs(spark, *reversed(rows)), targets)[0].collect()))
+    # more than the repeats allow of the targets: the exponent bends the weights to the limits of the small source
+    draws, shares = mixing.mix(docs(spark, *rows), targets, share=0.9)
+    bent = {r.source: r for r in shares.collect()}
+    assert bent["small"].actual_share < 0.2 and bent["small"].most_repeats == 4 and bent["big"].actual_share > 0.5 and bent["big"].most_repeats == 1
+    assert all(abs(r.actual_share - r.planned_share) < 0.02 for r in bent.values())
+    assert sum(r.n_tokens for r in bent.values()) == pytest.approx(0.9 * sum(count(t) for _, t, s, _ in rows if t and s.strip().lower() in ("big", "mid", "small")), rel=0.03)
+    even = {r.source: r for r in mixing.mix(docs(spark, *rows), targets, target_entropy=1.0)[1].collect()}
+    assert mixing.entropy({k: r.planned_share for k, r in even.items()}) == pytest.approx(1.0, abs=1e-3) and all(abs(r.actual_share - r.planned_share) < 0.02 for r in even.values())
     assert mixing.mix(docs(spark, *rows).limit(0), targets)[0].count() == 0 and mixing.mix(docs(spark, *rows), targets.limit(0))[0].count() == 0
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomfold.llm import bloom, fusion, nearjoin
-from loomfold.llm.chunkdedup import History, chunks
+from loomfold.llm.chunkdedup import History
 from loomfold.llm.texts import both, record_text, runs
 
 KINDS = "rec_no bigint, id string, messages string, tool_names array<string>, rep string, path int"
@@ -152,11 +152,14 @@ def test_batches_one_after_another_equal_one_batch(spark):
     assert a | b == together
 
 
-def test_chunks_survive_edits():
-    words = [f"word{i}" for i in range(300)]
-    a, b = dict(zip(*chunks(" ".join(words)))), dict(zip(*chunks(" ".join([*words[:150], "inserted", *words[150:]]))))
-    shared = sum(n for h, n in a.items() if h in b)
-    assert shared > 0.95 * sum(a.values()) and chunks("") == ([], []) or shared > 0
+def test_large_classes_are_expanded_in_blocks(spark):
+    members = spark.createDataFrame([(i, 1) for i in range(1, 60)] + [(i, 100) for i in range(100, 130)] + [(200, 200)], "key bigint, rep bigint")
+    links = spark.createDataFrame([(1, 100), (100, 200)], "a bigint, b bigint")
+    groups = [range(1, 60), range(100, 130), [200]]
+    want = {p for g in groups for p in itertools.combinations(g, 2)} | {(a, b) for x, y in ((0, 1), (1, 2)) for a in groups[x] for b in groups[y]}
+    for block in (7, 1000):
+        got = [tuple(r) for r in nearjoin.expanded(members, links, block).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_bloom_filter_lets_all_members_pass(spark):
@@ -165,6 +168,8 @@ def test_bloom_filter_lets_all_members_pass(spark):
     import pyarrow as pa
 
     passed = bloom.may_hold(packed, pa.array([*range(3000), None]))
+    assert bloom.bits_for(0) == bloom.bits_for(10) == bloom.LEAST and bloom.bits_for(1 << 40) == bloom.MOST and bloom.bits_for(1_000_000) == 1 << 24
+    assert not bloom.may_hold(bloom.build(spark.range(0).toDF("k")), pa.array([1, 2])).any()
     assert passed[np.arange(0, 3000, 3)].all() and passed[:3000].sum() < 1010 and not passed[3000]
 
 
