@@ -11,6 +11,8 @@ from loomfold.functions import hashing, parsers, text
 from loomfold.functions.jsonx import arguments, coerced_json, value_type
 from loomfold.operators import audit, dedup, enrich, quality, report, validate
 from loomfold.operators.normalize import normalize, to_rows
+from loomfold.plans import oracles
+from loomfold.session import written
 from loomfold.sources import readers
 from loomfold.streaming import incremental
 
@@ -560,27 +562,42 @@ def _functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(_t(spark, sf_dir, "raw_xlam"), "xlam", "xlam", "default", None, "row_no")
 
 
-@query("""WITH m AS (SELECT row_no, unnest(trajectory) AS m FROM raw_trajectory),
-    k AS (SELECT row_no, count(*) AS n, sum(CASE WHEN m.role IN ('system', 'user', 'assistant') THEN len(list_filter(coalesce(m.tool_calls, []), lambda c: c.function.name <> '')) ELSE 0 END) AS c
-        FROM m WHERE m.role IN ('system', 'user', 'assistant', 'tool', 'function') GROUP BY row_no)
-    SELECT t.row_no AS ord, coalesce(k.n, 0)::INT AS n_messages, coalesce(k.c, 0)::INT AS n_calls FROM raw_trajectory t LEFT JOIN k USING (row_no)""")
+@query(oracles.NORM_TRAJECTORY)
 def norm_openai_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(_trajectories(spark, sf_dir)).select("ord", "n_messages", "n_calls")
+    """Trajectories with cleaned observations, decoded arguments and synthesized tools, as whole JSON texts."""
+    n_calls = F.size(validate.calls_of()).alias("n_calls")
+    return _trajectories(spark, sf_dir).select("ord", F.size("messages").alias("n_messages"), n_calls, F.md5("messages_json").alias("messages"), F.md5("tools_json").alias("tools"))
 
 
-@query()
+@query(oracles.NORM_FUNCTIONS)
 def norm_xlam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(_functions(spark, sf_dir))
+    """Queries with their calls, answers in JSON and other notation, tools of both styles of parameters coerced."""
+    n_calls = F.size(validate.calls_of())
+    return _functions(spark, sf_dir).select(
+        "ord", n_calls.alias("n_calls"), (n_calls > 1).alias("parallel"), F.md5("messages_json").alias("messages"), F.md5("tools_json").alias("tools"), F.array_join("tool_names", ",").alias("names")
+    )
 
 
 # -- deduplication and the whole run ------------------------------------------------
 
 
-@query()
+def _both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trajectories(spark, sf_dir).unionByName(_functions(spark, sf_dir).withColumn("ord", F.col("ord") + F.lit(1 << 40)))
+
+
+@query(oracles.GREEDY)
 def greedy_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each trajectory and call record with why it was dropped, over all three layers."""
-    both = _trajectories(spark, sf_dir).unionByName(_functions(spark, sf_dir).withColumn("ord", F.col("ord") + F.lit(1 << 40)))
-    return dedup.deduplicate(both).select("ord", "source", "dup_reason")
+    return dedup.deduplicate(written(_both(spark, sf_dir), "both")).select("ord", "source", "dup_reason")
+
+
+@query(oracles.VERDICTS)
+def curate_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run says of each row of both raw tables: why it isn't well-formed, why it is a duplicate, its score and tier."""
+    checked = written(validate.validated(_both(spark, sf_dir)), "checked")
+    told = dedup.deduplicate(checked.where("reason IS NULL")).select("ord", "dup_reason")
+    scored = quality.scored(checked).select("ord", "reason", F.round("score", 6).alias("score"), "tier")
+    return scored.join(told, "ord", "left").select("ord", "reason", "dup_reason", "score", "tier")
 
 
 @query()
@@ -591,8 +608,7 @@ def reference_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def curate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run on both raw tables: canonical rows that are valid, unique and scored."""
-    both = _trajectories(spark, sf_dir).unionByName(_functions(spark, sf_dir).withColumn("ord", F.col("ord") + F.lit(1 << 40)))
-    valid = validate.validated(both).where("reason IS NULL")
+    valid = written(validate.validated(_both(spark, sf_dir)).where("reason IS NULL"), "valid")
     kept = dedup.deduplicate(valid, readers.row_hashes(_t(spark, sf_dir, "records"))).where("dup_reason IS NULL")
     return to_rows(enrich.with_record_ids(quality.scored(kept)))
 
