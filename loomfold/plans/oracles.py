@@ -9,6 +9,7 @@ from __future__ import annotations
 from loomfold.functions.hashing import BAND_ROWS, BANDS, PRIME, multipliers
 from loomfold.functions.jsonx import TYPE_NAMES
 from loomfold.functions.text import FOREIGN_MARKERS
+from loomfold.operators.audit import LEAKS
 
 _TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 _NORMAL = r"lower(trim(regexp_replace(coalesce({}, ''), '\s+', ' ', 'g')))"
@@ -179,3 +180,48 @@ GREEDY = f"""WITH RECURSIVE {_BOTH}, {_GREEDY.replace("r JOIN reasons q USING (o
 VERDICTS = f"""WITH RECURSIVE {_BOTH}, {_REASONS}, {_GREEDY}, {_SCORED}
     SELECT q.ord, q.reason, d.dup_reason, round(s.score, 6) AS score, CASE WHEN s.score >= 0.75::DOUBLE THEN 'high' WHEN s.score >= 0.5::DOUBLE THEN 'medium' ELSE 'low' END AS tier
     FROM reasons q JOIN scores s USING (ord) LEFT JOIN dropped d USING (ord)"""
+
+
+_LEAKS = ", ".join(f"'{x}'" for x in LEAKS)
+#: Defects of rows on disk by occurrence and by row: (rec_no, source, defect, times). Parts of another type than they should have count as missing.
+_DEFECTS = rf"""
+    d0 AS (SELECT rec_no, coalesce(source, '?') AS source, length(messages) AS size, coalesce(tool_names, []) AS names, json_valid(messages) AS ok, coalesce(messages, '') AS messages,
+        CASE WHEN {_TRIM.format("coalesce(tools, '')")} = '' THEN '[]' ELSE tools END AS tools FROM records),
+    d1 AS (SELECT *, CASE WHEN ok THEN CASE json_type(messages) WHEN 'ARRAY' THEN json_extract(messages, '$[*]') WHEN 'OBJECT' THEN [messages::JSON] ELSE []::JSON[] END END AS msgs,
+        CASE WHEN json_valid(tools) THEN CASE json_type(tools) WHEN 'ARRAY' THEN json_extract(tools, '$[*]') WHEN 'OBJECT' THEN [tools::JSON] ELSE []::JSON[] END END AS defs FROM d0),
+    x AS (SELECT rec_no, unnest(range(0, len(msgs))) AS pos, unnest(msgs) AS e FROM d1),
+    msg AS (SELECT rec_no, pos, e, json_extract_string(e, '$.role') AS role, CASE json_type(e, '$.content') WHEN 'VARCHAR' THEN json_extract_string(e, '$.content') WHEN 'NULL' THEN NULL ELSE json_extract(e, '$.content')::VARCHAR END AS content FROM x),
+    cal AS (SELECT rec_no, json_extract(c, '$.function') AS f FROM (SELECT rec_no, unnest(CASE WHEN json_type(e, '$.tool_calls') = 'ARRAY' THEN json_extract(e, '$.tool_calls[*]') ELSE []::JSON[] END) AS c FROM msg)),
+    ans AS (SELECT rec_no, CASE json_type(a, '$.response') WHEN 'VARCHAR' THEN json_extract_string(a, '$.response') ELSE json_extract(a, '$.response')::VARCHAR END AS response FROM
+        (SELECT rec_no, unnest(CASE WHEN json_type(e, '$.tool_responses') = 'ARRAY' THEN json_extract(e, '$.tool_responses[*]') ELSE []::JSON[] END) AS a FROM msg)),
+    def AS (SELECT rec_no, json_extract_string(t, '$.function.name') AS name, CASE WHEN json_type(t, '$.function.parameters') = 'VARCHAR' THEN CASE WHEN json_valid(json_extract_string(t, '$.function.parameters')) THEN json_extract_string(t, '$.function.parameters')::JSON END
+        ELSE json_extract(t, '$.function.parameters') END AS p FROM (SELECT rec_no, unnest(defs) AS t FROM d1 WHERE msgs IS NOT NULL)),
+    keyed AS (SELECT *, CASE WHEN json_type(p) = 'OBJECT' THEN json_keys(p) ELSE [] END AS keys, CASE WHEN json_type(p, '$.properties') = 'OBJECT' THEN json_keys(p, '$.properties') ELSE [] END AS properties FROM def),
+    sums AS (SELECT d.rec_no, d.source, d.names, (SELECT count(*) FROM cal c WHERE c.rec_no = d.rec_no) AS n_calls, (SELECT count(*) FROM ans a WHERE a.rec_no = d.rec_no) AS n_answers FROM d1 d WHERE msgs IS NOT NULL),
+    found AS (
+        SELECT rec_no, 'oversized_row_gt_1MB' AS defect FROM d1 WHERE size > 1000000
+        UNION ALL SELECT rec_no, 'messages_parse_error' FROM d1 WHERE msgs IS NULL
+        UNION ALL SELECT rec_no, 'tools_parse_error' FROM d1 WHERE msgs IS NOT NULL AND defs IS NULL
+        UNION ALL SELECT rec_no, 'tool_missing_name' FROM keyed WHERE coalesce(name, '') = ''
+        UNION ALL SELECT rec_no, 'tool_params_not_jsonschema' FROM keyed WHERE len(keys) > 0 AND NOT (list_contains(keys, 'type') AND list_contains(keys, 'properties'))
+        UNION ALL SELECT rec_no, 'schema_keys_leaked_as_args' FROM keyed WHERE list_contains(properties, 'type') AND list_contains(properties, 'properties') AND list_contains(properties, 'required')
+        UNION ALL SELECT DISTINCT rec_no, 'invalid_role' FROM msg WHERE NOT coalesce(role IN ('system', 'user', 'assistant', 'tool'), false)
+        UNION ALL SELECT rec_no, 'no_assistant_turn' FROM d1 WHERE msgs IS NOT NULL AND rec_no NOT IN (SELECT rec_no FROM msg WHERE role = 'assistant')
+        UNION ALL SELECT rec_no, 'cot_leak' FROM msg WHERE contains(content, '<think>')
+        UNION ALL SELECT rec_no, 'foreign_marker_leak' FROM msg WHERE len(list_filter([{_LEAKS}], lambda v: contains(content, v))) > 0
+        UNION ALL SELECT rec_no, 'role_label_leak' FROM msg WHERE regexp_matches(lower(content), '^\s*assistant[\n ]')
+        UNION ALL SELECT rec_no, 'raw_function_xml' FROM msg WHERE role = 'assistant' AND contains(content, '<function=')
+        UNION ALL SELECT rec_no, 'args_not_object' FROM cal WHERE NOT coalesce(regexp_matches({_TRIM.format("CASE json_type(f, '$.arguments') WHEN 'VARCHAR' THEN json_extract_string(f, '$.arguments') ELSE json_extract(f, '$.arguments')::VARCHAR END")}, '^[\[{{]'), false)
+        UNION ALL SELECT c.rec_no, 'undeclared_tool_call' FROM cal c JOIN sums s USING (rec_no) WHERE len(s.names) > 0 AND NOT coalesce(list_contains(s.names, json_extract_string(c.f, '$.name')), false)
+        UNION ALL SELECT rec_no, 'observation_prefix_leak' FROM ans WHERE response LIKE 'OBSERVATION:%'
+        UNION ALL SELECT rec_no, 'call_response_imbalance_gt1' FROM sums WHERE n_calls > 0 AND n_answers > 0 AND n_calls - n_answers > 1),
+    counted AS (SELECT d.source, f.defect, f.rec_no, count(*) AS times FROM found f JOIN d0 d USING (rec_no) GROUP BY ALL)"""
+
+AUDIT = f"""WITH {_DEFECTS}
+    SELECT defect, sum(times)::BIGINT AS occurrences, count(*) AS rows, round(100.0::DOUBLE * sum(times)::DOUBLE / (SELECT count(*) FROM records), 3) AS pct_occurrences, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM records), 3) AS pct_rows
+    FROM counted GROUP BY defect"""
+
+WORST = f"""WITH {_DEFECTS},
+    per AS (SELECT source, defect, sum(times)::BIGINT AS occurrences FROM counted GROUP BY ALL), top AS (SELECT source, sum(occurrences)::BIGINT AS total FROM per GROUP BY source ORDER BY total DESC, source LIMIT 6),
+    placed AS (SELECT p.source, t.total, p.defect, p.occurrences, row_number() OVER (PARTITION BY p.source ORDER BY p.occurrences DESC, p.defect)::INT AS place FROM per p JOIN top t USING (source))
+    SELECT * FROM placed WHERE place <= 3"""

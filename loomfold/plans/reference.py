@@ -326,12 +326,12 @@ def quality_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.by(quality.scored(_typed(spark, sf_dir)), "tier")
 
 
-@query()
+@query(oracles.AUDIT)
 def audit_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.totals(_t(spark, sf_dir, "records"))
 
 
-@query()
+@query(oracles.WORST)
 def audit_worst_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.worst_sources(_t(spark, sf_dir, "records"))
 
