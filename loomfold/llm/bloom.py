@@ -2,7 +2,7 @@
 
 The filter has 16 bits a key, in powers of two between ``LEAST`` and ``MOST``, so what is collected and shipped is at
 most 16 MiB. With far more keys than that it lets more pass: more is shuffled then, and the result stays the same. It
-is built from the places of the keys, 8 bytes each, which are put together where they lie, not from filters of tasks.
+is built from the distinct places of the keys, about 2 bytes each, not from whole filters of tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from loomfold.llm.texts import mixed
 
 LEAST, MOST, _CHUNK = 1 << 20, 1 << 27, 1 << 15
+_HELD = 4_000_000  # places that a task holds before it hands them out
 
 
 def _places(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -33,28 +34,38 @@ def build(keys: DataFrame, bits: int | None = None) -> np.ndarray:
     bits = bits_for(keys.count()) if bits is None else bits
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            at = np.unique(_places(batch.column(0).drop_null().to_numpy(), bits))
-            yield pa.RecordBatch.from_arrays([pa.array((at // _CHUNK).astype(np.int32)), pa.array((at % _CHUNK).astype(np.int32))], ["chunk", "at"])
+            held.append(np.unique(_places(batch.column(0).drop_null().to_numpy(), bits)))
+            size += len(held[-1])
+            if size > _HELD:
+                held = [np.unique(np.concatenate(held))]
+                size = len(held[0])
+                if size > _HELD // 2:
+                    yield _packed(held[0])
+                    held, size = [], 0
+        yield _packed(np.unique(np.concatenate([*held, np.array([], np.int64)])))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            chunks, at = batch.column("chunk").to_numpy(), batch.column("at").to_numpy()
-            order = np.argsort(chunks, kind="stable")
-            for chunk, places in zip(*_runs(chunks[order], at[order])):
-                total.setdefault(int(chunk), np.zeros(_CHUNK, bool))[places] = True
+            for chunk, places in zip(batch.column("chunk").to_pylist(), batch.column("places").to_pylist()):
+                total.setdefault(chunk, np.zeros(_CHUNK, bool))[np.frombuffer(places, np.uint16)] = True
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.packbits(x).tobytes() for x in total.values()], pa.binary())], ["chunk", "bits"])
 
     packed = np.zeros((bits // _CHUNK, _CHUNK // 8), np.uint8)
-    for chunk, part in keys.mapInArrow(place, "chunk int, at int").repartition("chunk").mapInArrow(merge, "chunk int, bits binary").collect():
+    for chunk, part in keys.mapInArrow(place, "chunk int, places binary").repartition("chunk").mapInArrow(merge, "chunk int, bits binary").collect():
         packed[chunk] = np.frombuffer(part, np.uint8)
     return packed.ravel()
 
 
-def _runs(chunks: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    starts = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1]]) if len(chunks) else np.array([], np.int64)
-    return chunks[starts], np.split(at, starts[1:]) if len(starts) else []
+def _packed(places: np.ndarray) -> pa.RecordBatch:
+    """Sorted distinct places as (chunk, places in it), two bytes a place."""
+    chunks = places // _CHUNK
+    starts = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1]]) if len(places) else np.array([], np.int64)
+    ends = (2 * np.r_[starts, len(places)]).astype(np.int32)
+    data = pa.py_buffer((places % _CHUNK).astype(np.uint16).tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(chunks[starts].astype(np.int32)), pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.tobytes()), data])], ["chunk", "places"])
 
 
 def may_hold(packed: np.ndarray, keys: pa.Array) -> np.ndarray:
