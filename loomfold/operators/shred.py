@@ -3,7 +3,8 @@
 ``shred`` turns the nested JSON columns of each record into one node table: (record key, node, parent, label,
 ordinal, scalar). Object nodes have a number and no scalar; scalar nodes have no number and hang on their object.
 ``entities`` joins the object nodes with their scalar children and pivots these into columns: one row per entity,
-linked to its parent entity and its record.
+linked to its parent entity and its record. ``adjacency`` is the whole table of nodes at any depth, from which the
+values can be rebuilt; ``shred`` holds the nodes of the child tables, which cost less.
 
 The number of an object node is its place (``node_number``), so the position of the parent comes from the link itself,
 without a self-join. Object and scalar children meet in one aggregation by (key, object), which is combined on the
@@ -19,6 +20,8 @@ ignored, also those named like the columns of the result.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -127,7 +130,10 @@ def _nodes(messages: str | None, tools: str | None, metadata: str | None) -> lis
 
 def _shred_arrays(messages: pa.Array, tools: pa.Array, metadata: pa.Array) -> pa.Array:
     """The node lists of a batch of records."""
-    lists = [_nodes(*row) for row in zip(messages.to_pylist(), tools.to_pylist(), metadata.to_pylist())]
+    return _listed([_nodes(*row) for row in zip(messages.to_pylist(), tools.to_pylist(), metadata.to_pylist())])
+
+
+def _listed(lists: list[list[tuple]]) -> pa.Array:
     flat = list(zip(*(node for nodes in lists for node in nodes))) or [()] * len(NODE_ARROW)
     structs = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, NODE_ARROW)], fields=list(NODE_ARROW))
     return pa.ListArray.from_arrays(np.cumsum([0, *map(len, lists)], dtype=np.int32), structs)
@@ -141,6 +147,52 @@ def shred(records: DataFrame, key: str = "rec_no") -> DataFrame:
     return rows.select(key, nodes).select(key, "n.*")
 
 
+def _adjacency(values: dict[str, str | None]) -> list[tuple]:
+    """All nodes of a record at any depth, the record itself being node 0."""
+    out: list[tuple] = []
+    row = xxhash.xxh64_intdigest(repr(tuple(values.values())).encode("utf-8", "replace")) >> 1
+    stack = [(0, label, i, decode(text)) for i, (label, text) in enumerate(values.items())][::-1]
+    number = 0
+    while stack:
+        parent, label, ordinal, value = stack.pop()
+        value = inner(value)
+        if not isinstance(value, (dict, list)):
+            out.append((row, None, parent, label, ordinal, json.dumps(value, ensure_ascii=False)))
+            continue
+        number += 1
+        out.append((row, number, parent, label, ordinal, None if isinstance(value, dict) else "[]"))
+        parts = value.items() if isinstance(value, dict) else (("[]", v) for v in value)
+        stack += [(number, k, i, v) for i, (k, v) in enumerate(parts)][::-1]
+    return out
+
+
+def adjacency(records: DataFrame, columns: tuple[str, ...] = ("messages", "tools", "metadata"), key: str = "rec_no") -> DataFrame:
+    """The whole node table (key, row_hash, node, parent, label, ordinal, scalar) of JSON columns, at any depth.
+
+    Objects and arrays have a number, arrays the scalar "[]"; all else hangs as scalar, as JSON text, on its object or
+    array by label and ordinal, nulls included, so the values can be rebuilt. JSON text inside JSON is opened. Columns
+    are the nodes below the record, null where they can't be decoded. One narrow pass; rows without a key have no nodes.
+    """
+    ship(records.sparkSession)
+
+    def arrays(*given: pa.Array) -> pa.Array:
+        return _listed([_adjacency(dict(zip(columns, row))) for row in zip(*(x.to_pylist() for x in given))])
+
+    rows = spread(records.where(F.col(key).isNotNull()).select(key, *columns))
+    return rows.select(key, F.explode(F.arrow_udf(arrays, NODE)(*columns)).alias("n")).select(key, "n.*")
+
+
+def rebuilt(nodes: list[tuple]) -> dict:
+    """The values of the columns of one record from its rows (node, parent, label, ordinal, scalar)."""
+    held: dict[int, object] = {0: {}}
+    for node, parent, label, ordinal, scalar in sorted(nodes, key=lambda x: (x[1], x[3])):
+        value = ([] if scalar == "[]" else {}) if node is not None else json.loads(scalar)
+        held[node] = value if node is not None else held.get(node)
+        owner = held[parent]
+        owner.append(value) if isinstance(owner, list) else owner.__setitem__(label, value)
+    return held[0]
+
+
 def entities(nodes: DataFrame, columns: tuple[str, ...] = (), key: str = "rec_no") -> DataFrame:
     """One row per object node: (key, row_hash, node, parent, ordinal) and the scalar children of these labels as columns.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomfold.operators.shred import child_tables
+from loomfold.operators.shred import adjacency, child_tables
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +18,12 @@ def p1_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return child_tables(spark.read.parquet(f"{sf_dir}/records.parquet"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_children": p1_children}
+def p1_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of messages, tools and metadata at any depth, with parent, label, ordinal and scalar."""
+    return adjacency(spark.read.parquet(f"{sf_dir}/records.parquet")).select("rec_no", "node", "parent", "label", "ordinal", "scalar")
+
+
+QUERIES = {"p1_found": p1_found, "p1_children": p1_children, "p1_nodes": p1_nodes}
 
 
 def _elements(x: str) -> str:

@@ -1,6 +1,6 @@
 import json
 
-from loomfold.operators.shred import child_tables, entities, shred
+from loomfold.operators.shred import adjacency, rebuilt, child_tables, entities, shred
 
 KINDS = "rec_no bigint, messages string, tools string, metadata string, label string, node int"
 
@@ -46,3 +46,16 @@ def test_scalars_are_pivoted(spark):
     assert flat["f"].value == '{"a":1}' and flat["f"].parent == flat["assistant"].node
     child = child_tables(df).first()
     assert child.parent_name == "assistant" and child.value == '{"a":1}'
+
+
+def test_whole_node_tables_rebuild_the_values(spark):
+    messages = [{"role": "user", "content": [{"type": "text", "text": "a"}, None, 3]}, None, {"tool_calls": {"function": {"arguments": {"deep": [[1, {"er": []}], {}]}}}}]
+    metadata = {"a": None, "lineage": [{"checks": json.dumps([{"name": "x"}])}], "n": 1.5, "t": "[no json", "l": "[]"}
+    rows = [(1, json.dumps(messages), None, json.dumps(metadata)), (2, "[{", "", "3"), (None, "[]", None, None)]
+    nodes = adjacency(spark.createDataFrame(rows, "rec_no bigint, messages string, tools string, metadata string"))
+    held = {}
+    for r in nodes.collect():
+        held.setdefault(r.rec_no, []).append((r.node, r.parent, r.label, r.ordinal, r.scalar))
+    metadata["lineage"][0]["checks"] = [{"name": "x"}]
+    assert rebuilt(held[1]) == {"messages": messages, "tools": None, "metadata": metadata | {"l": []}}
+    assert rebuilt(held[2]) == {"messages": None, "tools": None, "metadata": 3} and set(held) == {1, 2}
