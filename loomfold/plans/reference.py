@@ -352,205 +352,8 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").select("event_id", F.arrow_udf(tell, "struct<kind:string,k:string,n_keys:int>")("props").alias("x")).select("event_id", "x.*")
 
 
-@query("""SELECT p_partkey, concat('{"type":"object","properties":{"size":{"type":"integer","description":"', p_type, '"},"brand":{"type":"string"}},"required":["brand"]}') AS flat,
-    '{"type":"object","properties":{"q":{"type":"number"}},"required":["q"]}' AS schema, 'array' AS args_kind FROM part""")
-def coerce_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parameters as plain map and as schema in another notation, and arguments that are a list."""
-    import pyarrow as pa
-
-    flat = F.concat(F.lit('{"size":{"type":"int, optional","default":3,"description":"'), "p_type", F.lit('"},"brand":{"type":"str","default":"x"}}'))
-    coerce = F.arrow_udf(lambda x: pa.array([coerced_json(v) for v in x.to_pylist()], pa.string()), "string")
-    kinds = F.arrow_udf(lambda x: pa.array([value_type(arguments(v).get("_args")) for v in x.to_pylist()], pa.string()), "string")
-    schema = F.concat(F.lit('{"type":"dict","properties":{"q":{"type":"float"}},"required":["q"]}'), F.substring("p_name", 1, 0))
-    args = F.concat(F.lit("["), F.col("p_size").cast("string"), F.lit(", 2]"))
-    return _t(spark, sf_dir, "part").select("p_partkey", coerce(flat).alias("flat"), coerce(schema).alias("schema"), kinds(args).alias("args_kind"))
-
-
-# -- parsers: input built from columns, here and in the SQL ---------------------------
-
-
-def _parsed(function, kind: str):
-    """An Arrow function of a text that gives structs."""
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_type(_parse_datatype_string(kind))
-    return F.arrow_udf(lambda x: pa.array([function(v) for v in x.to_pylist()], arrow), kind)
-
-
-def _part(spark: SparkSession, sf_dir: str, given: Column, function, kind: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "part").withColumn("given", given)
-    return rows.select("p_partkey", _parsed(function, kind)("given").alias("x")).select("p_partkey", "x.*")
-
-
-def _first_call(found) -> dict:
-    prose, calls = found
-    function = calls[0]["function"] if calls else {"name": None, "arguments": {}}
-    values = [str(v) for v in function["arguments"].values()]
-    return {"n": len(calls), "name": function["name"], "args": "|".join(values), "prose": prose}
-
-
-_CALL = "struct<n:int,name:string,args:string,prose:string>"
-
-
-@query("SELECT p_partkey, 1 AS n, 'buy_part' AS name, concat(p_size, '|', p_name) AS args, concat('Now ', p_brand, '.') AS prose FROM part")
-def parse_xml_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blob = F.concat(F.lit('{"name": "buy part", "arguments": {"size": '), "p_size", F.lit(', "part": "'), "p_name", F.lit('"}}'))
-    given = F.concat(F.lit("Now "), "p_brand", F.lit(".\n<tool_call>\n"), blob, F.lit("\n</tool_call>\n<tool_call>broken</tool_call>"))
-    return _part(spark, sf_dir, given, lambda x: _first_call(parsers.xml_calls(x)), _CALL)
-
-
-@query("SELECT p_partkey, 1 AS n, 'bash' AS name, concat('ls ', p_size, '|', p_brand) AS args, concat('Look at ', p_name) AS prose FROM part")
-def parse_function_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = F.concat(F.lit("Look at "), "p_name", F.lit("\n<function=bash><parameter=cmd> ls "), "p_size", F.lit(" </parameter><parameter=b>"), "p_brand", F.lit("</parameter></function>"))
-    return _part(spark, sf_dir, given, lambda x: _first_call(parsers.function_xml(x)), _CALL)
-
-
-@query("SELECT p_partkey, 2 AS n, 'Find_Part_v2' AS name, concat(p_size, '|', p_name) AS args, NULL::VARCHAR AS prose FROM part")
-def parse_call_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = F.concat(F.lit("[Find Part (v2)(size="), "p_size", F.lit(", name='"), "p_name", F.lit("'), Stop()]"))
-    return _part(spark, sf_dir, given, lambda x: _first_call((None, parsers.call_list(x))), _CALL)
-
-
-@query("SELECT p_partkey, 1 AS n, 'type' AS name, concat(p_size, '|', p_name, '|', CASE WHEN p_partkey % 2 = 0 THEN 'True' ELSE 'False' END) AS args, NULL::VARCHAR AS prose FROM part")
-def parse_bracket_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = F.concat(F.lit("In summary, the next action I will perform is ```type ["), "p_size", F.lit("] ["), "p_name", F.lit("] ["), F.when(F.col("p_partkey") % 2 == 0, "1").otherwise("0"), F.lit("]```"))
-
-    def parse(x):
-        made = parsers.bracket_action(parsers.reasoned_action(x))
-        return _first_call((None, [made] if made else []))
-
-    return _part(spark, sf_dir, given, parse, _CALL)
-
-
-@query("SELECT p_partkey, 1 AS n, 'type' AS name, concat('e', p_size, '|', p_name) AS args, NULL::VARCHAR AS prose FROM part")
-def parse_call_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = F.concat(F.lit('text(uid="e'), "p_size", F.lit('", value="'), "p_name", F.lit('")'))
-    return _part(spark, sf_dir, given, lambda x: _first_call((None, [parsers.call_action(x)])), _CALL)
-
-
-@query("SELECT p_partkey, 2 AS n, 'Big_tool' AS first_name, p_brand AS response FROM part")
-def parse_tools_and_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tools of an array in prose, and a response in tags."""
-    tools = '[{"name": "Big tool", "parameters": {}}, {"name": "b", "description": "x"}]'
-    given = F.concat(F.lit(f"You [may] use {tools} <tool_response>" + '{"name": "t", "content": "'), "p_brand", F.lit('"}</tool_response>'))
-
-    def parse(x):
-        found = parsers.json_array_tools(x, {})
-        return {"n": len(found), "first_name": found[0]["function"]["name"], "response": parsers.xml_responses(x)[0]["response"]}
-
-    return _part(spark, sf_dir, given, parse, "struct<n:int,first_name:string,response:string>")
-
-
 # -- normalizers ----------------------------------------------------------------
 
-
-def _summary(records: DataFrame) -> DataFrame:
-    """What a record holds, in scalars, with its validation reason."""
-    calls = validate.calls_of()
-    first = F.get(calls, F.lit(0))
-    last = F.element_at("messages", -1)
-    return validate.validated(records).select(
-        "ord", F.size("messages").alias("n_messages"), F.size(calls).alias("n_calls"), first["name"].alias("call_name"), F.size("tools").alias("n_tools"),
-        last["role"].alias("last_role"), last["content"].alias("last_content"), "reason",
-    )
-
-
-def _formatted(normalizer: str, sql: str, cfg: dict | None, make: Callable[[], Column]) -> None:
-    """A query that normalizes rows of a format built from part."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = _t(spark, sf_dir, "part").select("p_partkey", make().alias("r")).select("p_partkey", "r.*")
-        return _summary(normalize(rows, normalizer, "made", "default", cfg, "p_partkey"))
-
-    run.__name__ = f"norm_{normalizer}"
-    query(f"SELECT p_partkey AS ord, {sql}, NULL::VARCHAR AS reason FROM part")(run)
-
-
-def _list(kind: str, *turns: tuple[str, Column | str]) -> Column:
-    """An array of structs of two texts, the fields named by ``kind``."""
-    a, b = kind.split(",")
-    as_c = lambda x: x if isinstance(x, Column) else F.lit(x)
-    return F.array(*(F.struct(F.lit(r).alias(a), as_c(c).cast("string").alias(b)) for r, c in turns))
-
-
-_T = '[{"name": "find part", "parameters": {"size": {"type": "int"}}}]'
-_ARGS = lambda: F.concat(F.lit('{"name": "find part", "arguments": {"size": '), F.col("p_size").cast("string"), F.lit("}}"))
-
-_formatted(
-    "sharegpt", "4 AS n_messages, 1 AS n_calls, 'find_part' AS call_name, 1 AS n_tools, 'assistant' AS last_role, p_name AS last_content",
-    {"conv_col": "conversations", "tools_col": "tools"},
-    lambda: F.struct(F.lit(_T).alias("tools"), _list("from,value", ("human", F.col("p_type")), ("function_call", _ARGS()), ("observation", '{"ok": 1}'), ("gpt", F.col("p_name"))).alias("conversations")),
-)
-_formatted(
-    "hermes", "4 AS n_messages, 1 AS n_calls, 'find_part' AS call_name, 1 AS n_tools, 'tool' AS last_role, NULL::VARCHAR AS last_content",
-    {"conv_col": "conversations", "tools_col": "tools"},
-    lambda: F.struct(
-        F.lit(None).cast("string").alias("tools"),
-        _list("from,value", ("system", f"Use <tools>{_T}</tools> now"), ("human", F.col("p_type")), ("gpt", F.concat(F.lit("ok <tool_call>"), _ARGS(), F.lit("</tool_call>"))), ("tool", F.concat(F.lit("<tool_response>"), "p_name", F.lit("</tool_response>")))).alias("conversations"),
-    ),
-)
-_formatted(
-    "toolace", "3 AS n_messages, 1 AS n_calls, 'find_part' AS call_name, 1 AS n_tools, 'assistant' AS last_role, NULL::VARCHAR AS last_content", None,
-    lambda: F.struct(
-        F.lit(f"Be kind. Here is a list of functions in JSON format that you can invoke: {_T}").alias("system"),
-        _list("from,value", ("user", F.col("p_type")), ("assistant", F.concat(F.lit("[find part(size="), F.col("p_size").cast("string"), F.lit(")]")))).alias("conversations"),
-    ),
-)
-_formatted(
-    "when2call", "2 AS n_messages, (p_partkey % 2)::INT AS n_calls, CASE WHEN p_partkey % 2 = 1 THEN 'find_part' END AS call_name, 1 AS n_tools, 'assistant' AS last_role, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS last_content", None,
-    lambda: F.struct(
-        F.array(F.lit(_T[1:-1])).alias("tools"),
-        _list("role,content", ("user", F.col("p_type")), ("assistant", F.when(F.col("p_partkey") % 2 == 1, F.concat(F.lit("<TOOLCALL>["), _ARGS(), F.lit("]</TOOLCALL>"))).otherwise(F.col("p_name")))).alias("messages"),
-    ),
-)
-_formatted(
-    "toucan", "4 AS n_messages, 1 AS n_calls, 'find_part' AS call_name, 1 AS n_tools, 'assistant' AS last_role, p_name AS last_content", None,
-    lambda: F.struct(
-        F.lit(_T).alias("tools"), F.lit("sft").alias("subset_name"),
-        _list("role,content", ("user", F.col("p_type")), ("tool_call", _ARGS()), ("tool_response", "done"), ("assistant", F.col("p_name"))).alias("messages"),
-    ),
-)
-_formatted(
-    "nemotron_terminal", "3 AS n_messages, 1 AS n_calls, 'run_terminal' AS call_name, 1 AS n_tools, 'tool' AS last_role, NULL::VARCHAR AS last_content", None,
-    lambda: F.struct(
-        _list(
-            "role,content", ("user", F.col("p_type")), ("assistant", F.concat(F.lit('<think>x</think>{"analysis": "'), "p_name", F.lit('", "commands": [{"keystrokes": "ls\\n"}, {"keystrokes": "pwd\\n"}]}'))),
-            ("user", F.concat(F.lit("New Terminal Output:\n"), "p_brand")),
-        ).alias("conversations"),
-        F.col("p_name").alias("task"),
-    ),
-)
-_formatted(
-    "nnetnav", "3 AS n_messages, (p_partkey % 2)::INT AS n_calls, CASE WHEN p_partkey % 2 = 1 THEN 'click' END AS call_name, 5 AS n_tools, 'assistant' AS last_role, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS last_content", None,
-    lambda: F.struct(
-        _list("role,content", ("system", "long"), ("user", F.col("p_type"))).alias("messages"),
-        F.concat(F.lit("Let me think.\n```"), F.when(F.col("p_partkey") % 2 == 1, F.concat(F.lit("click ["), F.col("p_size").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("stop ["), "p_name", F.lit("]"))), F.lit("```")).alias("output"),
-    ),
-)
-_formatted(
-    "weblinx", "3 AS n_messages, (p_partkey % 2)::INT AS n_calls, CASE WHEN p_partkey % 2 = 1 THEN 'click' END AS call_name, 5 AS n_tools, 'assistant' AS last_role, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS last_content", None,
-    lambda: F.struct(
-        F.when(F.col("p_partkey") % 2 == 1, F.concat(F.lit('click(uid="'), F.col("p_size").cast("string"), F.lit('")'))).otherwise(F.concat(F.lit('say(speaker="x", utterance="'), "p_name", F.lit('")'))).alias("action"),
-        F.col("p_type").alias("clean_html"), F.lit("c").alias("candidates"), F.lit("1x1").alias("viewport"), F.col("p_brand").alias("utterances"),
-    ),
-)
-_formatted(
-    "mind2web", "4 AS n_messages, 1 AS n_calls, CASE WHEN p_partkey % 2 = 1 THEN 'type' ELSE 'select' END AS call_name, 5 AS n_tools, 'assistant' AS last_role, NULL::VARCHAR AS last_content", None,
-    lambda: F.struct(
-        F.col("p_name").alias("confirmed_task"),
-        F.array(F.struct(F.struct(F.when(F.col("p_partkey") % 2 == 1, "TYPE").otherwise("SELECT").alias("op"), F.col("p_type").alias("value")).alias("operation"), F.col("p_brand").alias("cleaned_html"), F.array(F.struct(F.col("p_size").cast("string").alias("backend_node_id"))).alias("pos_candidates"))).alias("actions"),
-    ),
-)
-_formatted(
-    "smoltalk2", "2 AS n_messages, 1 AS n_calls, 'find_part' AS call_name, 1 AS n_tools, 'assistant' AS last_role, p_name AS last_content", None,
-    lambda: F.struct(
-        F.struct(F.array(F.lit(_T[1:-1])).alias("xml_tools")).alias("chat_template_kwargs"), F.lit("s").alias("source"),
-        _list("role,content", ("user", F.col("p_type")), ("assistant", F.concat("p_name", F.lit(" <tool_call>"), _ARGS(), F.lit("</tool_call>")))).alias("messages"),
-    ),
-)
-
 _TRAJECTORY = {"messages_col": "trajectory", "tools_col": None, "synthesize_tools": True, "clean_tool_content": True}
 
 
