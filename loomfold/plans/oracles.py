@@ -225,3 +225,20 @@ WORST = f"""WITH {_DEFECTS},
     per AS (SELECT source, defect, sum(times)::BIGINT AS occurrences FROM counted GROUP BY ALL), top AS (SELECT source, sum(occurrences)::BIGINT AS total FROM per GROUP BY source ORDER BY total DESC, source LIMIT 6),
     placed AS (SELECT p.source, t.total, p.defect, p.occurrences, row_number() OVER (PARTITION BY p.source ORDER BY p.occurrences DESC, p.defect)::INT AS place FROM per p JOIN top t USING (source))
     SELECT * FROM placed WHERE place <= 3"""
+
+
+#: Counts of a run over both tables.
+REPORT = f"""WITH RECURSIVE {_BOTH}, {_REASONS}, {_GREEDY}, {_SCORED},
+    v AS (SELECT q.ord, q.reason, d.dup_reason, CASE WHEN s.score >= 0.75::DOUBLE THEN 'high' WHEN s.score >= 0.5::DOUBLE THEN 'medium' ELSE 'low' END AS tier FROM reasons q JOIN scores s USING (ord) LEFT JOIN dropped d USING (ord))
+    SELECT 'seen' AS metric, count(*) AS n FROM v WHERE reason IS NULL UNION ALL SELECT 'kept', count(*) FROM v WHERE reason IS NULL AND dup_reason IS NULL
+    UNION ALL SELECT k, count(v.ord) FROM (VALUES ('exact'), ('swe_group'), ('near')) t(k) LEFT JOIN v ON v.dup_reason = k GROUP BY k
+    UNION ALL SELECT concat('filtered ', reason), count(*) FROM v WHERE reason IS NOT NULL GROUP BY reason UNION ALL SELECT concat('quality ', tier), count(*) FROM v WHERE reason IS NULL AND dup_reason IS NULL GROUP BY tier""".replace("v AS (SELECT r.* FROM r", "w0 AS (SELECT r.* FROM r").replace("FROM v JOIN whole w", "FROM w0 v JOIN whole w")
+
+#: Calls against a reference set of the earlier half of the time: the content decides, then the first of equal contents.
+AGAINST = f"""WITH {FUNCTIONS},
+    r AS (SELECT r.*, x.loaded_at FROM records r JOIN raw_xlam x ON x.row_no = r.ord), cut AS (SELECT (min(epoch_us(loaded_at)) + max(epoch_us(loaded_at))) // 2 AS at FROM raw_xlam),
+    said0 AS (SELECT ord, pos, string_agg(concat(name, {_normal_args("args")}), '' ORDER BY k) AS hashed FROM calls GROUP BY ALL),
+    whole AS (SELECT m.ord, string_agg(concat(role, {_NORMAL.format("content")}, s.hashed), '' ORDER BY m.pos) AS content FROM msgs m LEFT JOIN said0 s USING (ord, pos) GROUP BY m.ord),
+    t AS (SELECT r.ord, epoch_us(r.loaded_at) < cut.at AS early, concat(w.content, array_to_string(list_sort(r.names), '')) AS content FROM r JOIN whole w USING (ord), cut),
+    known AS (SELECT DISTINCT content FROM t WHERE early)
+    SELECT ord, CASE WHEN content IN (SELECT content FROM known) OR row_number() OVER (PARTITION BY content ORDER BY ord) > 1 THEN 'exact' END AS dup_reason FROM t WHERE NOT early"""

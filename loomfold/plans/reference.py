@@ -14,6 +14,7 @@ from loomfold.operators.normalize import normalize, to_rows
 from loomfold.plans import oracles
 from loomfold.session import written
 from loomfold.sources import readers
+from loomfold.sources.registry import Registry, Source
 from loomfold.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,8 +212,19 @@ def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("row_no", *(F.col("m")[k].alias(k) for k in ("instance_id", "repo", "hf_id", "license")), F.size("m").alias("n_keys"))
 
 
-def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "sources").withColumns({"wired": F.col("enabled") & (F.col("trust") > 1), "status": F.lit(""), "notes": F.concat_ws("|", "license", "normalizer")})
+def _registry(spark: SparkSession, sf_dir: str) -> Registry:
+    """The registry of the sources table; the subsets of a source are the kinds of its documents. Bounded by the table of sources."""
+    kinds = _t(spark, sf_dir, "documents").where("source IS NOT NULL").groupBy("source").agg(F.array_sort(F.collect_set("doc_kind")).alias("kinds"))
+    rows = _t(spark, sf_dir, "sources").join(kinds, F.col("source") == F.col("source_key"), "left").orderBy("source_key").collect()
+    given = [{"key": r.source_key, "hf_id": r.hf_id, "tier": r.tier, "normalizer": r.normalizer, "dedup_group": r.dedup_group, "enabled": r.enabled, "license": r.license or "unknown", "notes": f"{r.license}|{r.normalizer}", "subsets": [{"config": k, "split": "train"} for k in r.kinds or ()]} for r in rows]
+    return Registry({}, tuple(map(Source.of, given)))
+
+
+def _keys(spark: SparkSession, chosen: list[Source]) -> DataFrame:
+    return spark.createDataFrame([(s.key, s.tier) for s in chosen], "source_key string, tier string")
+
+
+_WIRED = "enabled AND source_key IN (SELECT source FROM documents WHERE doc_kind IS NOT NULL)"
 
 
 @query("SELECT dedup_group, string_agg(source_key, ', ' ORDER BY source_key) AS members FROM sources GROUP BY dedup_group")
@@ -220,19 +232,36 @@ def catalog_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.members_by_group(_t(spark, sf_dir, "sources"))
 
 
-@query(r"""WITH x AS (SELECT *, (enabled AND trust > 1) AS wired, CASE tier WHEN 'function_calling' THEN 0 WHEN 'agent_traces' THEN 1 WHEN 'swe_terminal' THEN 2 WHEN 'web' THEN 3 WHEN 'core' THEN 4 WHEN 'rl' THEN 5 WHEN 'general' THEN 6 ELSE 7 END AS o FROM sources)
-    SELECT row_number() OVER (ORDER BY o, tier, NOT wired, lower(hf_id)) AS place, tier, source_key, hf_id, license, CASE WHEN wired THEN 'wired' ELSE 'listed' END AS status,
-        substring(concat_ws('\|', license, normalizer), 1, 90) AS notes FROM x""")
+@query(rf"""WITH x AS (SELECT *, ({_WIRED}) AS wired, CASE tier WHEN 'function_calling' THEN 0 WHEN 'agent_traces' THEN 1 WHEN 'swe_terminal' THEN 2 WHEN 'web' THEN 3 WHEN 'core' THEN 4 WHEN 'rl' THEN 5 WHEN 'general' THEN 6 ELSE 7 END AS o FROM sources)
+    SELECT row_number() OVER (ORDER BY o, tier, NOT wired, lower(hf_id)) AS place, tier, source_key, hf_id, coalesce(license, 'unknown') AS license, CASE WHEN wired THEN 'wired' ELSE 'listed' END AS status,
+        substring(concat(coalesce(license, 'None'), '\|', normalizer), 1, 90) AS notes FROM x""")
 def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("place")).cast("bigint")  # the catalog is small
-    return report.catalog_table(_catalog(spark, sf_dir)).withColumn("place", place)
+    return report.catalog_table(_registry(spark, sf_dir).frame(spark)).withColumn("place", place)
 
 
-@query("SELECT source_key, tier FROM sources WHERE enabled AND trust > 1 AND tier IN ('web', 'general')")
+@query(f"SELECT source_key, tier FROM sources WHERE {_WIRED} AND tier IN ('web', 'general')")
 def sources_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _catalog(spark, sf_dir).where(F.col("wired") & F.col("tier").isin("web", "general")).select("source_key", "tier")
+    return _keys(spark, _registry(spark, sf_dir).by_tier(["web", "general"]))
+
+
+@query("SELECT source_key, tier FROM sources WHERE NOT enabled OR dedup_group = source_key")
+def sources_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources chosen by key, wired or not: the disabled ones, and those that are their own group."""
+    registry = _registry(spark, sf_dir)
+    return _keys(spark, registry.by_key([s.key for s in registry.sources if not s.enabled or s.dedup_group == s.key]))
+
+
+@query("SELECT DISTINCT tier FROM sources")
+def tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(t,) for t in _registry(spark, sf_dir).tiers], "tier string")
+
+
+@query("SELECT rec_no FROM records WHERE json_valid(quality) AND json_extract_string(quality, '$.tier') = 'high'")
+def high_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.of_quality(_t(spark, sf_dir, "records"), "high").select("rec_no")
 
 
 @query("SELECT s.tier, count(*) AS n FROM records r JOIN sources s ON lower(trim(r.source)) = s.source_key GROUP BY s.tier")
@@ -403,6 +432,29 @@ def curate_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.join(told, "ord", "left").select("ord", "reason", "dup_reason", "score", "tier")
 
 
+@query(oracles.REPORT)
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that a run reports: why rows were left out, duplicates by layer, tiers of what is kept."""
+    checked = written(validate.validated(_both(spark, sf_dir)), "checked")
+    unique = written(dedup.deduplicate(checked.where("reason IS NULL")), "unique")
+    layers = ("seen", "kept", *(name for _, name in dedup.LAYERS))
+    totals = dedup.stats(unique).select(F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), F.col(k).alias("n")) for k in layers))).alias("x")).select("x.*")
+    filtered = report.top_reasons(checked, most=1_000).select(F.concat(F.lit("filtered "), "reason"), "n")
+    tiers = report.by(quality.scored(unique.where("dup_reason IS NULL")), "tier").select(F.concat(F.lit("quality "), "tier"), "n")
+    return totals.union(filtered).union(tiers)
+
+
+@query(oracles.AGAINST)
+def dedup_against(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls of the later half of the time against the content hashes of the earlier half as reference set."""
+    t = _t(spark, sf_dir, "raw_xlam")
+    at = t.agg(F.expr("(min(unix_micros(cast(loaded_at AS timestamp))) + max(unix_micros(cast(loaded_at AS timestamp)))) div 2")).first()[0]
+    early = F.expr(f"unix_micros(cast(loaded_at AS timestamp)) < {at or 0}")
+    made = lambda rows: normalize(rows, "xlam", "xlam", "default", None, "row_no")
+    known = made(t.where(early)).select(F.col("content_hash").alias("hash"))
+    return dedup.deduplicate(written(made(t.where(~early)), "late"), known, near=False).select("ord", "dup_reason")
+
+
 @query()
 def reference_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.row_hashes(_t(spark, sf_dir, "records"))
