@@ -151,3 +151,17 @@ SQL["p4_found"] = """
     r AS (SELECT rec_no, len(s) AS n, unnest(s) AS run FROM s),
     b AS (SELECT a.rec_no AS rec_a, b.rec_no AS rec_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common FROM r a JOIN r b ON a.run = b.run AND a.rec_no < b.rec_no GROUP BY ALL)
     SELECT rec_a, rec_b FROM b WHERE 10 * common >= 7 * (na + nb - common)"""
+
+SQL["p4_groups"] = f"""
+    WITH RECURSIVE pairs AS MATERIALIZED ({SQL['p4_found']}), ways AS MATERIALIZED (SELECT rec_a AS a, rec_b AS b FROM pairs UNION ALL SELECT rec_b, rec_a FROM pairs),
+    reach(a, b) AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a)
+    SELECT rec_no, least(rec_no, coalesce((SELECT min(b) FROM reach WHERE a = rec_no), rec_no)) AS group_no FROM records WHERE json_valid(messages) AND
+        json_type(CASE json_type(messages) WHEN 'VARCHAR' THEN CASE WHEN json_valid(json_extract_string(messages, '$')) THEN json_extract_string(messages, '$') END ELSE messages END) IN ('ARRAY', 'OBJECT')"""
+
+SQL["p7_report"] = f"""
+    WITH d AS (SELECT doc_id, {_RUNS.format("text")} AS w FROM documents), i AS (SELECT item_id, {_RUNS.format("item_text")} AS w FROM eval_items),
+    a AS (SELECT item_id, unnest(range(1, len(w) - 10)) AS p, unnest(list_transform(range(1, len(w) - 10), lambda p: array_to_string(w[p : p + 11], ' '))) AS run FROM i WHERE len(w) >= 12),
+    b AS (SELECT doc_id, unnest(range(1, len(w) - 10)) AS q, unnest(list_transform(range(1, len(w) - 10), lambda p: array_to_string(w[p : p + 11], ' '))) AS run FROM d WHERE len(w) >= 12),
+    m AS (SELECT item_id, doc_id, p, q, q - p AS diagonal, p - row_number() OVER (PARTITION BY item_id, doc_id, q - p ORDER BY p) AS island FROM a JOIN b USING (run)),
+    l AS (SELECT item_id, doc_id, count(*) + 11 AS n FROM m GROUP BY item_id, doc_id, diagonal, island)
+    SELECT item_id, count(DISTINCT doc_id) AS n_docs, max(n) AS longest FROM l GROUP BY item_id"""
