@@ -1,13 +1,13 @@
 """Deduplicating new batches against all history by a persistent table of word runs.
 
-The table holds the runs of each accepted record (cut to 40 bits), with its identity and a sketch of 128 bits; a batch
-is looked up by its own runs, and its accepted rows are appended, so history is never read as text again but for the
-few candidates.
+The table holds the hashes of the runs of each accepted record, with its identity and a sketch of 128 bits, and beside it
+one row per class of equal sets of runs. A batch is looked up by its own runs, likeness is counted on the runs, and its
+accepted rows are appended: the texts of history are read once, when they are accepted.
 
 A pair at the threshold has at least ``tenths`` tenths of the runs of either text in common. So each new text looks up
 only as many of its rarest runs that the others alone couldn't be enough, and a text of history whose runs the batch
 has too few of is left out: both bounds hold for every pair, whatever the lengths and edits, and texts that share
-common phrases alone don't meet. Nothing is capped. Pairs that met are compared by their sketches before their texts
+common phrases alone don't meet. Nothing is capped. Pairs that met are compared by their sketches before their runs
 are fetched, then counted exactly.
 
 The accepted rows are the greedy choice by ascending number: rounds accept every row that is the first undecided
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,8 +37,9 @@ from loomfold.llm.nearjoin import minwise, sketch_distance, sketches
 from loomfold.llm.texts import both, record_text, runs
 from loomfold.session import shared_dir, ship, spread, written
 
-TOKEN_SHIFT = 24  # 40 bits of a run are kept; runs that agree in them may meet, but are counted whole
-ROWS = "key bigint, tail string, set_id binary, tokens array<bigint>, s0 bigint, s1 bigint"
+TOKEN_SHIFT = 24  # runs are looked up by 40 bits; those that agree in them may meet, but are counted whole
+ROWS = "key bigint, tail string, set_id binary, runs binary, s0 bigint, s1 bigint"
+CLASSES = "set_id binary, rep bigint"
 
 def id_tail(column: str = "id"):
     """The last 16 characters of an id, outer spaces and letter case ignored; null where there are none."""
@@ -46,20 +48,23 @@ def id_tail(column: str = "id"):
 
 
 def _identities(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """(key, tail, set_id, tokens, s0, s1) of rows with id, messages and tool_names; nulls where messages can't be decoded."""
+    """(key, tail, set_id, runs, s0, s1) of rows with id, messages and tool_names; nulls where messages can't be decoded.
+
+    runs are the bytes of a sorted array of 64-bit hashes.
+    """
     ship(rows.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tokens, sets = [], [], []
+            ids, kept, sets = [], [], []
             for messages, names in rows_of([batch.select(["messages", "tool_names"])]):
                 text = record_text(messages, names)
                 sets.append(own := np.array([], np.uint64) if text is None else runs(text, size))
                 ids.append(None if text is None else xxhash.xxh3_128_digest(own.tobytes()))
-                tokens.append(None if text is None else (own >> np.uint64(TOKEN_SHIFT)).view(np.int64))
+                kept.append(None if text is None else own.tobytes())
             sketch = sketches(minwise(sets))
-            columns = [pa.array(ids, pa.binary()), pa.array(tokens, pa.list_(pa.int64())), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("tail"), *columns], ["key", "tail", "set_id", "tokens", "s0", "s1"])
+            columns = [pa.array(ids, pa.binary()), pa.array(kept, pa.binary()), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("tail"), *columns], ["key", "tail", "set_id", "runs", "s0", "s1"])
 
     plain = spread(rows.select(F.col(key).cast("bigint").alias("key"), id_tail().alias("tail"), "messages", "tool_names"))
     return plain.mapInArrow(sign, ROWS)
@@ -70,55 +75,68 @@ def _classes(signed: DataFrame) -> DataFrame:
     return signed.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("key").alias("rep"))
 
 
-def _first_rows(signed: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows that stand for their classes; a filter of fixed size may leave some copies, which do no harm."""
-    wanted = build(classes.select("rep"))
+def _wanted(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose first column a filter of the keys lets pass; a filter of fixed size may leave some others."""
+    wanted = build(keys)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(may_hold(wanted, batch.column(0))))
 
-    return signed.where("set_id IS NOT NULL").mapInArrow(keep, signed.schema)
+    return rows.mapInArrow(keep, rows.schema)
 
 
-def _least(runs, tenths: int):
-    """The runs of a text that a near-duplicate has at the least: tenths of them, rounded up."""
-    return (runs * tenths + 9) // 10
+def _first_rows(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows that stand for their classes; some copies may be left, which do no harm."""
+    return _wanted(signed.where("set_id IS NOT NULL"), classes.select("rep"))
 
 
-def _that_may_match(rows: DataFrame, wanted: np.ndarray, tenths: int) -> DataFrame:
-    """(key, tokens) of the rows of which a filter lets enough tokens pass for a near-duplicate, with these tokens."""
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of all rows in a row, where each row begins and the last ends) of a column of runs."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64) // 8
+    whole = np.frombuffer(b"".join(x for x in column.to_pylist() if x is not None), np.uint64)
+    return (whole >> np.uint64(TOKEN_SHIFT)).view(np.int64), np.r_[0, np.cumsum(sizes)]
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _exploded(rows: DataFrame, wanted: np.ndarray | None = None, tenths: int = 0) -> DataFrame:
+    """(key, runs, token) of rows (key, runs), runs being their number.
+
+    With a filter only the tokens it lets pass, and only of rows that keep enough of them for a near-duplicate.
+    """
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = batch.column("tokens")
-            lengths = tokens.value_lengths().fill_null(0).to_numpy()
-            flat = tokens.flatten()
-            passed = may_hold(wanted, flat) if len(flat) else np.array([], bool)
-            ends = np.r_[0, np.cumsum(lengths)]
-            enough = np.diff(np.r_[0, np.cumsum(passed)][ends]) >= _least(lengths, tenths)
-            passed &= np.repeat(enough, lengths)
-            kept = np.r_[0, np.cumsum(passed)][ends].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(kept, flat.filter(pa.array(passed)))], ["key", "tokens"])
+            tokens, ends = _tokens(batch.column("runs"))
+            sizes = np.diff(ends)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            if wanted is not None:
+                passed = may_hold(wanted, pa.array(tokens)) if len(tokens) else np.array([], bool)
+                enough = np.bincount(row[passed], minlength=len(sizes)) >= _least(sizes, tenths)
+                passed &= enough[row]
+                tokens, row = tokens[passed], row[passed]
+            keys = batch.column("key").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(keys[row], pa.int64()), pa.array(sizes[row].astype(np.int32)), pa.array(tokens)], ["key", "runs", "token"])
 
-    return rows.mapInArrow(keep, "key bigint, tokens array<bigint>")
+    return rows.select("key", "runs").mapInArrow(explode, "key bigint, runs int, token bigint")
 
 
-def _compare(size: int):
-    def compare(a_messages: pa.Array, a_names: pa.Array, b_messages: pa.Array, b_names: pa.Array) -> pa.Array:
-        """Common and all runs, of batches of two records."""
-        out = []
-        for am, an, bm, bn in zip(a_messages.to_pylist(), a_names.to_pylist(), b_messages.to_pylist(), b_names.to_pylist()):
-            rx, ry = runs(record_text(am, an), size), runs(record_text(bm, bn), size)
-            common = both(rx, ry)
-            out.append({"common": common, "either": len(rx) + len(ry) - common})
-        return pa.array(out, pa.struct([("common", pa.int32()), ("either", pa.int32())]))
+def _least(runs, tenths: int):
+    """The runs of a text that a near-duplicate has at the least: tenths of them, rounded up."""
+    return (runs * tenths + 9) // 10
 
-    return compare
+
+def _compare(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Common and all runs, of batches of two sets."""
+    out = []
+    for x, y in zip(a.to_pylist(), b.to_pylist()):
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        common = both(x, y)
+        out.append({"common": common, "either": len(x) + len(y) - common})
+    return pa.array(out, pa.struct([("common", pa.int32()), ("either", pa.int32())]))
 
 
 class History:
-    """Everything accepted so far, as a table in a folder: (key, tail, set_id, tokens, s0, s1) of the accepted rows."""
+    """Everything accepted so far, as two tables in a folder: rows (``ROWS``) and classes of equal sets (``CLASSES``)."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, key: str = "rec_no", size: int = 3, tenths: int = 7):
         self.spark, self.key, self.size, self.tenths = spark, key, size, tenths
@@ -126,28 +144,31 @@ class History:
 
     def start(self, rows: DataFrame) -> History:
         """Accept all rows as they are."""
-        self._append(_identities(rows, self.key, self.size))
+        self._append(_identities(rows, self.key, self.size), "rows")
+        self._append(_classes(self.table()), "classes")
         return self
 
-    def _append(self, signed: DataFrame) -> None:
-        signed.write.mode("append").option("compression", "zstd").parquet(self.path)
+    def _append(self, rows: DataFrame, name: str) -> None:
+        rows.write.mode("append").option("compression", "zstd").parquet(f"{self.path}/{name}")
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema(ROWS).parquet(self.path)
+        return self.spark.read.schema(ROWS).parquet(f"{self.path}/rows")
+
+    def classes(self) -> DataFrame:
+        return self.spark.read.schema(CLASSES).parquet(f"{self.path}/classes")
 
-    def _links(self, new: DataFrame, batch: DataFrame, texts: DataFrame) -> DataFrame:
+    def _links(self, new: DataFrame) -> DataFrame:
         """(a, b, old): classes a of the batch and classes b of history (old) or of the batch that are near-duplicates."""
-        old = self.table()
-        old = _first_rows(old, _classes(old))
+        old = _first_rows(self.table().select("key", "set_id", "runs", "s0", "s1"), self.classes())
         # one column holds the class and whether it is old: 2 x key + 1 or 2 x key
         own = F.col("key") * 2
+        mine = _exploded(new)
         # texts of history of whose runs the batch surely has too few stay out of the shuffle
-        met_runs = _that_may_match(old.select("key", "tokens"), build(new.select(F.explode("tokens"))), self.tenths)
-        everything = met_runs.select(F.explode("tokens").alias("token"), (own + 1).alias("b")).union(new.select(F.explode("tokens"), own)).repartition("token")
+        met_runs = _exploded(old, build(mine.select("token")), self.tenths)
+        everything = met_runs.select("token", (own + 1).alias("b")).union(mine.select("token", own)).repartition("token")
         frequency = everything.groupBy("token").count().where("count > 1")
-        mine = new.select(F.col("key").alias("a"), F.size("tokens").alias("runs"), F.explode("tokens").alias("token"))
         rarest = Window.partitionBy("a").orderBy("count", "token")
-        ranked = mine.join(frequency, "token", "left").fillna(1, ["count"]).withColumn("place", F.row_number().over(rarest))
+        ranked = mine.withColumnRenamed("key", "a").join(frequency, "token", "left").fillna(1, ["count"]).withColumn("place", F.row_number().over(rarest))
         # without its rarest runs up to this place a text has one too few; runs nobody else has find nobody
         least = F.expr(f"(runs * {self.tenths} + 9) div 10")
         lookup = ranked.where((F.col("place") <= F.col("runs") - least + 1) & (F.col("count") > 1)).select("token", "a")
@@ -157,38 +178,20 @@ class History:
         apart = F.bit_count(F.col("s0").bitwiseXOR(F.col("t0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("t1")))
         alike = seen.where(apart <= sketch_distance(self.tenths / 10))
         pairs = written(alike.select("a", F.shiftright("b", 1).alias("b"), (F.col("b") % 2 != 0).alias("old")), "met")
-        a_texts = self._wanted(batch, pairs.select("a"))
-        old_texts = self._wanted(texts, pairs.where("old").select("b")).withColumn("old", F.lit(True))
-        b_texts = old_texts.unionByName(self._wanted(batch, pairs.where("NOT old").select("b")).withColumn("old", F.lit(False)))
-        compare = F.arrow_udf(_compare(self.size), "struct<common:int,either:int>")
-        told = (
-            pairs.join(a_texts.select(F.col("key").alias("a"), F.col("messages").alias("am"), F.col("tool_names").alias("an")), "a")
-            .join(b_texts.select(F.col("key").alias("b"), "old", F.col("messages").alias("bm"), F.col("tool_names").alias("bn")), ["b", "old"])
-            .select("a", "b", "old", compare("am", "an", "bm", "bn").alias("n"))
-        )
+        runs_of = lambda rows, keys, side: _wanted(rows.select("key", "runs"), keys).toDF(side, f"runs_{side}")
+        b_runs = runs_of(old, pairs.where("old").select("b"), "b").withColumn("old", F.lit(True))
+        b_runs = b_runs.unionByName(runs_of(new, pairs.where("NOT old").select("b"), "b").withColumn("old", F.lit(False)))
+        compare = F.arrow_udf(_compare, "struct<common:int,either:int>")
+        told = pairs.join(runs_of(new, pairs.select("a"), "a"), "a").join(b_runs, ["b", "old"]).select("a", "b", "old", compare("runs_a", "runs_b").alias("n"))
         return told.where(F.col("n.common") * 10 >= F.col("n.either") * self.tenths).select("a", "b", "old")
 
-    def _wanted(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
-        """(key, messages, tool_names) of the rows that a filter of the keys lets pass."""
-        wanted = build(keys)
-
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(may_hold(wanted, batch.column(0))))
-
-        plain = rows.select(F.col(self.key).cast("bigint").alias("key"), "messages", "tool_names")
-        return spread(plain).mapInArrow(keep, "key bigint, messages string, tool_names array<string>")
-
-    def admit(self, batch: DataFrame, texts: DataFrame, append: bool = True) -> DataFrame:
-        """The rejected rows (key) of a batch; the others are accepted and, unless told otherwise, appended.
-
-        texts: the accepted rows of history with key, messages and tool_names; only candidates are read from it.
-        """
+    def admit(self, batch: DataFrame, append: bool = True) -> DataFrame:
+        """The rejected rows (key) of a batch; the others are accepted and, unless told otherwise, appended."""
         signed = written(_identities(batch, self.key, self.size), "identities")
         old = self.table()
-        known = old.where("set_id IS NOT NULL").select("set_id").distinct()
+        known = self.classes().select("set_id")
         named = written(_classes(signed).join(known, "set_id", "left_anti"), "classes")  # equal texts in history: rejected below
-        links = written(self._links(_first_rows(signed, named), batch, texts), "links")
+        links = written(self._links(_first_rows(signed.select("key", "set_id", "runs", "s0", "s1"), named)), "links")
         blocked_classes = links.where("old").select(F.col("a").alias("rep")).distinct()
         rows = (
             signed.select("key", "tail", "set_id")
@@ -200,7 +203,9 @@ class History:
         )
         accepted = _greedy(written(rows, "undecided"), links.where("NOT old").select("a", "b"))
         if append:
-            self._append(signed.join(accepted.select("key"), "key", "left_semi"))
+            taken = written(signed.join(accepted.select("key"), "key", "left_semi"), "taken")
+            self._append(taken, "rows")
+            self._append(_classes(taken), "classes")
         return signed.select("key").join(accepted.select("key"), "key", "left_anti")
 
 

@@ -43,7 +43,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of incoming that repeat accepted content: all of records, or earlier accepted rows of incoming."""
     records, incoming = _table(spark, sf_dir, "records"), _table(spark, sf_dir, "incoming")
     history = History(spark, size=3, tenths=7).start(records)
-    return history.admit(incoming, records, append=False).select(F.col("key").alias("rec_no"))
+    return history.admit(incoming, append=False).select(F.col("key").alias("rec_no"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,10 +110,10 @@ def test_history_rejects_what_a_sequential_pass_rejects(spark, seed):
     records += [(600, "s_00000000000000ff", "[{", None)]
     incoming += [(700, "t_00000000000000FF", said("nothing like it at all here"), None)]
     history = History(spark).start(frame(spark, *records))
-    got = [r.key for r in history.admit(frame(spark, *incoming), frame(spark, *records)).collect()]
+    got = [r.key for r in history.admit(frame(spark, *incoming)).collect()]
     assert sorted(got) == sorted(greedy(records, incoming))
     # what was accepted is now history: the same batch is rejected but for rows that nothing identifies
-    again = {r.key for r in history.admit(frame(spark, *incoming), frame(spark, *records, *incoming)).collect()}
+    again = {r.key for r in history.admit(frame(spark, *incoming)).collect()}
     assert again == {r[0] for r in incoming}
 
 
@@ -137,7 +137,7 @@ def test_pairs_at_the_threshold_are_rejected_in_long_texts(spark):
     incoming += [(300 + i, f"n_{300 + i:016d}", said(" ".join(edited(rng, t, len(t) // 6))), None) for i, t in enumerate(texts)]
     assert min(len(r[2]) for r in records) > 600
     history = History(spark).start(frame(spark, *records))
-    got = {r.key for r in history.admit(frame(spark, *incoming), frame(spark, *records)).collect()}
+    got = {r.key for r in history.admit(frame(spark, *incoming)).collect()}
     assert got == greedy(records, incoming) and got >= set(range(100, 140)) and len(got) < len(incoming)
 
 
@@ -145,10 +145,10 @@ def test_batches_one_after_another_equal_one_batch(spark):
     rows = families(6, 30)
     first, second, third = rows[:25], rows[25:45], rows[45:]
     whole = History(spark).start(frame(spark, *first))
-    together = {r.key for r in whole.admit(frame(spark, *second, *third), frame(spark, *first)).collect()}
+    together = {r.key for r in whole.admit(frame(spark, *second, *third)).collect()}
     step = History(spark).start(frame(spark, *first))
-    a = {r.key for r in step.admit(frame(spark, *second), frame(spark, *first)).collect()}
-    b = {r.key for r in step.admit(frame(spark, *third), frame(spark, *first, *second)).collect()} if third else set()
+    a = {r.key for r in step.admit(frame(spark, *second)).collect()}
+    b = {r.key for r in step.admit(frame(spark, *third)).collect()} if third else set()
     assert a | b == together
 
 
