@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomfold.functions.jsonx import deep_sorted, encode
+from loomfold.session import ship
 
 SHINGLE, MOST_SHINGLES = 5, 1_500
 PERMUTATIONS, BANDS, BAND_ROWS = 64, 4, 15
@@ -120,12 +122,19 @@ def banding(threshold: float, permutations: int = PERMUTATIONS) -> tuple[int, in
 def minhash(rows: DataFrame, key: str, shingles: str = "shingles", permutations: int = PERMUTATIONS) -> DataFrame:
     """(key, m0 .. mN): minwise values of the shingles of each row, in one narrow pass; rows without shingles have none."""
 
-    def sign(lists: pa.Array) -> pa.Array:
-        found = [signature(x or [], permutations) for x in lists.to_pylist()]
-        return pa.array([None if x is None else x.tolist() for x in found], pa.list_(pa.int64()))
+    given = rows.select(key, shingles)
+    names = [f"m{i}" for i in range(permutations)]
+    schema = given.select(key, *(F.lit(0).cast("bigint").alias(n) for n in names)).schema
 
-    signed = rows.select(key, F.arrow_udf(sign, "array<bigint>")(shingles).alias("m")).where("m IS NOT NULL")
-    return signed.select(key, *(F.get("m", F.lit(i)).alias(f"m{i}") for i in range(permutations)))
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [signature(x or [], permutations) for x in batch.column(1).to_pylist()]
+            kept = [i for i, x in enumerate(found) if x is not None]
+            values = np.stack([found[i] for i in kept], axis=1) if kept else np.empty((permutations, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept, pa.int64())), *map(pa.array, values)], [key, *names])
+
+    ship(rows.sparkSession)
+    return given.mapInArrow(sign, schema)
 
 
 def bands(signatures: DataFrame, key: str, count: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from loomfold.functions.jsonx import arguments, coerced_json, value_type
 from loomfold.operators import audit, dedup, enrich, quality, report, validate
 from loomfold.operators.normalize import normalize, to_rows
 from loomfold.plans import oracles
-from loomfold.session import written
+from loomfold.session import shared_dir, spread, written
 from loomfold.sources import readers
 from loomfold.sources.registry import Registry, Source
 from loomfold.streaming import incremental
@@ -155,7 +156,7 @@ SHINGLES = f"""words AS (SELECT doc_id, list_filter(string_split({NORMAL.format(
 
 
 def _shingled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "documents").select("doc_id", hashing.text_shingles(text.normal_text("text")).alias("shingles"))
+    return spread(_t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", hashing.text_shingles(text.normal_text("text")).alias("shingles"))
 
 
 @query(f"WITH {SHINGLES} SELECT doc_id, count(*) AS n, min(md5(s)) AS least FROM shingled GROUP BY doc_id")
@@ -468,6 +469,17 @@ def curate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_rows(enrich.with_record_ids(quality.scored(kept)))
 
 
+@query(f"SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY md5({NORMAL.format('text')}) ORDER BY doc_id) > 1 THEN 'exact' END AS reason FROM documents")
+def stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a file stream, decided against all that was kept before; the outcome is that of one ordered pass."""
+    base = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    rows = spark.readStream.schema(_t(spark, sf_dir, "documents").schema).parquet(f"{sf_dir}/documents.parque[t]")
+    tokens = lambda batch: batch.select(F.col("doc_id").alias("ord"), F.lit("e").alias("layer"), F.md5(text.normal_text("text")).alias("token"))
+    stream = incremental.stream_dedup(rows, tokens, incremental.KeptTokens(spark, f"{base}/kept"), f"{base}/out", f"{base}/checkpoint").start()
+    stream.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(F.col("ord").alias("doc_id"), "reason")
+
+
 @query("""SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
 def windowed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event-time windows; on a table no event is late."""

@@ -20,7 +20,7 @@ def plain(v):
     return round(v, 6) if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", [n for n in _entry().oracle_sql() if n not in ("minhash", "near_buckets")])
+@pytest.mark.parametrize("name", list(_entry().oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for f in glob.glob(f"{DATA}/*.parquet"):
