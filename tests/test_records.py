@@ -131,6 +131,18 @@ def test_greedy_dedup_equals_one_ordered_pass(spark, seed):
     assert {r.ord: r.reason for r in dedup.resolve(df).collect()} == sequential(tokens)
 
 
+def test_hot_tokens_are_spread_without_another_outcome(spark, monkeypatch):
+    rng = random.Random(7)
+    tokens = {o: {("e", f"e{rng.randrange(60)}"), ("s", f"s{rng.randrange(3)}"), ("b", "all" if rng.random() < 0.4 else f"b{rng.randrange(40)}")} for o in range(60)}
+    df = spark.createDataFrame([(o, letter, t) for o, ts in tokens.items() for letter, t in ts], "ord bigint, layer string, token string")
+    monkeypatch.setattr(dedup, "HOT_ROWS", 5)
+    monkeypatch.setattr(dedup, "SALTS", 4)
+    salted = dedup._Salted(df)
+    assert {"s0", "s1", "s2", "all"} <= set(salted.hot)
+    assert salted.rows(df).where("token = 'all'").select("salt").distinct().count() > 1
+    assert {r.ord: r.reason for r in dedup.resolve(df).collect()} == sequential(tokens)
+
+
 def test_dedup_layers_and_reference(spark):
     text = [f"w{i} w{i + 1} w{i + 2} w{i + 3} w{i + 4}" for i in range(30)]
     rows = [
