@@ -33,6 +33,18 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearjoin.near_pairs(_table(spark, sf_dir, "records"), tenths=7, size=3)
 
 
+def p4_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record with the smallest rec_no of the records that have the same runs: copies without their pairs."""
+    members, _ = nearjoin.near_classes(_table(spark, sf_dir, "records"), tenths=7, size=3)
+    return members.select(F.col("key").alias("rec_no"), "rep")
+
+
+def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicates between classes of equal records, by their representatives, with common runs and runs in either."""
+    _, links = nearjoin.near_classes(_table(spark, sf_dir, "records"), tenths=7, size=3)
+    return links.select(F.least("a", "b").alias("rec_a"), F.greatest("a", "b").alias("rec_b"), "common", "either")
+
+
 def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate records: each record with the smallest rec_no that it is linked to, over any steps."""
     members, links = nearjoin.near_classes(_table(spark, sf_dir, "records"), tenths=7, size=3)
@@ -110,7 +122,7 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "split_limits"))
 
 
-QUERIES = {"p8_draws": p8_draws, "p8_shares": p8_shares, "p8_budget_draws": p8_budget_draws, "p8_budget_shares": p8_budget_shares, "p8_entropy_shares": p8_entropy_shares, "p9_pieces": p9_pieces, "p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p6_decisions": p6_decisions, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups}
+QUERIES = {"p8_draws": p8_draws, "p8_shares": p8_shares, "p8_budget_draws": p8_budget_draws, "p8_budget_shares": p8_budget_shares, "p8_entropy_shares": p8_entropy_shares, "p9_pieces": p9_pieces, "p3_found": p3_found, "p2_found": p2_found, "p2_rates": p2_rates, "p7_found": p7_found, "p7_report": p7_report, "p7_clean": p7_clean, "p6_found": p6_found, "p6_survivors": p6_survivors, "p6_decisions": p6_decisions, "p5_found": p5_found, "p4_found": p4_found, "p4_groups": p4_groups, "p4_members": p4_members, "p4_links": p4_links}
 SQL: dict[str, str] = {}
 
 
@@ -152,6 +164,13 @@ SQL["p4_found"] = """
     b AS (SELECT a.rec_no AS rec_a, b.rec_no AS rec_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common FROM r a JOIN r b ON a.run = b.run AND a.rec_no < b.rec_no GROUP BY ALL)
     SELECT rec_a, rec_b FROM b WHERE 10 * common >= 7 * (na + nb - common)"""
 
+_SETS = SQL["p4_found"].split("    r AS (SELECT rec_no, len(s) AS n")[0].rstrip().rstrip(",")
+SQL["p4_members"] = f"{_SETS} SELECT rec_no, min(rec_no) OVER (PARTITION BY list_sort(s)) AS rep FROM s"
+SQL["p4_links"] = f"""{_SETS}, reps AS (SELECT min(rec_no) AS rec_no, any_value(s) AS s FROM s GROUP BY list_sort(s)),
+    r AS (SELECT rec_no, len(s) AS n, unnest(s) AS run FROM reps),
+    b AS (SELECT a.rec_no AS rec_a, b.rec_no AS rec_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common FROM r a JOIN r b ON a.run = b.run AND a.rec_no < b.rec_no GROUP BY ALL)
+    SELECT rec_a, rec_b, common::INT AS common, (na + nb - common)::INT AS either FROM b WHERE 10 * common >= 7 * (na + nb - common)"""
+
 SQL["p4_groups"] = f"""
     WITH RECURSIVE pairs AS MATERIALIZED ({SQL['p4_found']}), ways AS MATERIALIZED (SELECT rec_a AS a, rec_b AS b FROM pairs UNION ALL SELECT rec_b, rec_a FROM pairs),
     reach(a, b) AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a)
