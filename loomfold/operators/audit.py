@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomfold.functions.text import trimmed
 from loomfold.schema import ROLES
+from loomfold.session import spread
 
 #: Marks that must not be left in contents (fixed values).
 LEAKS = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|eot_id|>", "<|start_header_id|>", "[INST]", "[/INST]", "<functioncall>", "tool_declare")
@@ -51,7 +52,7 @@ def typed(rows: DataFrame) -> DataFrame:
     Parts of another type than they should have (a lone object, JSON text in place of an array) count as missing.
     """
     tools = F.coalesce(F.when(trimmed(F.col("tools")) != "", F.col("tools")), F.lit("[]"))
-    decoded = rows.select(
+    decoded = spread(rows.select("id", "source", "messages", "tools", "tool_names")).select(
         "id", F.coalesce("source", F.lit("?")).alias("source"), F.length("messages").alias("size"), F.coalesce("tool_names", F.array().cast("array<string>")).alias("tool_names"),
         _decoded(F.col("messages"), _MESSAGES).alias("msgs"), _decoded(tools, _TOOLS).alias("tools"),
     )
@@ -93,8 +94,9 @@ def defects() -> Column:
 
 def by_source(rows: DataFrame) -> DataFrame:
     """(source, defect, occurrences, rows): defects counted by occurrence and by row, in one pass that builds them once."""
-    found = typed(rows).select("source", defects().alias("all")).where(F.size("all") > 0)
-    each = found.select("source", "all", F.explode(F.array_distinct("all")).alias("defect"))
+    found = typed(rows).select("source", defects().alias("all"))
+    # the outer kind: for the other one a filter of empty arrays is put below, which builds all defects a second time
+    each = found.select("source", "all", F.explode_outer(F.array_distinct("all")).alias("defect")).where("defect IS NOT NULL")
     times = F.size(F.filter("all", lambda x: x == F.col("defect")))
     return each.groupBy("source", "defect").agg(F.sum(times).alias("occurrences"), F.count("*").alias("rows"))
 
