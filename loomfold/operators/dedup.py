@@ -104,19 +104,17 @@ def deduplicate(records: DataFrame, against: DataFrame | None = None, near: bool
     and tokens are compared; the records themselves are joined once, with the verdicts. The records are read twice:
     give a written table.
     """
-    verdicts, rows = None, records
+    verdicts = None
     if against is not None:
         known = against.select(F.col("hash").alias("content_hash")).distinct()
-        verdicts = records.select("ord", "content_hash").join(known, "content_hash", "left_semi").select("ord", F.lit("exact").alias("dup_reason"))
-    told = resolve(tokens(rows, near, scope) if against is None else _unseeded(tokens(rows, near, scope), verdicts)).withColumnRenamed("reason", "dup_reason")
+        hit = records.select("ord", "content_hash").join(known, "content_hash", "left_semi")
+        verdicts = written(hit.select("ord", F.lit("exact").alias("dup_reason")), "known")
+    own = tokens(records, near, scope)
+    told = resolve(own if verdicts is None else own.join(verdicts.select("ord"), "ord", "left_anti")).withColumnRenamed("reason", "dup_reason")
     dropped = told.where("dup_reason IS NOT NULL")
     return records.join(dropped if verdicts is None else dropped.union(verdicts), "ord", "left")
 
 
-def _unseeded(token_rows: DataFrame, seeded: DataFrame) -> DataFrame:
-    return token_rows.join(seeded.select("ord"), "ord", "left_anti")
-
-
 def stats(deduplicated: DataFrame) -> DataFrame:
     """(seen, kept, exact, swe_group, near) in one row."""
     is_ = lambda name: F.count_if(F.col("dup_reason") == name).alias(name)

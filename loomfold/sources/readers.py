@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loomfold.functions.decode import rows_of
 from loomfold.functions.hashing import content_hash
 from loomfold.schema import ON_DISK
-from loomfold.session import ship
+from loomfold.session import ship, spread
 
 #: Bits of the place of a row in its file, of the number of a file, and files of a subset whose numbers are broadcast.
 ROW_BITS, FILE_BITS, MAX_FILES = 36, 27, 1_000_000
@@ -125,7 +125,7 @@ def row_hashes(rows: DataFrame) -> DataFrame:
                     continue
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["hash"])
 
-    return rows.select("messages", "tool_names").mapInArrow(tell, "hash string").distinct()
+    return spread(rows.select("messages", "tool_names")).mapInArrow(tell, "hash string").distinct()
 
 
 def reference_hashes(spark: SparkSession, rows: DataFrame, cache: str | None = None, name: str = "", limit: int | None = None) -> DataFrame:
